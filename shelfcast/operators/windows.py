@@ -106,3 +106,20 @@ def densify_panel(cells: DataFrame, first_day: int, last_day: int,
     obs = cells.select(*series_keys, day_col, value_col)
     return (grid.join(obs, on=list(series_keys) + [day_col], how="left")
                 .withColumn(value_col, F.coalesce(F.col(value_col), F.lit(fill_value))))
+
+
+def series_features(df: DataFrame, lags: Sequence[int] = (28, 35, 42, 49),
+                    roll: tuple[int, int] | None = (28, 28), price_win: int | None = 7,
+                    price_ref: str = "series", keys=SERIES, order: str = "day_num",
+                    sales: str = "sales", price: str = "sell_price") -> DataFrame:
+    """All per-series features of the global model (VAL feature set) in one
+    pass: every expression shares the same partitioning, so the plan has a
+    single hash exchange on the series keys."""
+    out = lag_features(df, lags, sales, keys, order)
+    if roll:
+        win, shift = roll
+        out = rolling_lagged(out, win, shift, sales, keys, order)
+    if price_win:
+        out = price_features(out, price, keys, order, price_ref)
+        out = price_volatility(out, price_win, price, keys, order)
+    return out

@@ -30,7 +30,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("SHELFCAST_DRIVER_MEMORY", "16g"))
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
