@@ -44,17 +44,54 @@ def lag_features(df: DataFrame, lags: Sequence[int] = (28, 35, 42, 49), col: str
     return df.withColumns({f"{prefix}{k}": F.lag(col, k).over(w) for k in lags})
 
 
+def rolling_integer_stats(df: DataFrame, x: str, win: int, mean_name: str, std_name: str,
+                          keys=SERIES, order: str = "day_num") -> DataFrame:
+    """Rolling mean / sample std (min_periods = win) of an integer-valued
+    column in O(rows): running sums from the series start (an incremental
+    frame) differenced ``win`` rows apart. 64-bit integer sums are exact, so
+    the mean equals the moving-frame result bit for bit; the std comes from
+    exact sums of squares. A moving frame instead re-aggregates ``win`` rows
+    for every output row."""
+    w = series_window(keys, order)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col(x).cast("long")
+    t = [f"__{x}_{n}" for n in ("n", "s1", "s2")]
+    out = df.withColumns({
+        t[0]: F.count(v).over(run),
+        t[1]: F.coalesce(F.sum(v).over(run), F.lit(0)),
+        t[2]: F.coalesce(F.sum(v * v).over(run), F.lit(0)),
+    })
+    d = {c: F.col(c) - F.lag(c, win, 0).over(w) for c in t}
+    n, s1, s2 = d[t[0]], d[t[1]], d[t[2]]
+    full = n == win
+    var = (s2 * win - s1 * s1).cast("double") / float(win * (win - 1))
+    out = out.withColumns({
+        mean_name: F.when(full, s1.cast("double") / float(win)),
+        std_name: F.when(full, F.sqrt(F.greatest(var, F.lit(0.0)))),
+    })
+    return out.drop(*t)
+
+
 # O-45 / O-46 ---------------------------------------------------------------
 def rolling_lagged(df: DataFrame, win: int = 28, shift: int = 28, col: str = "sales",
-                   keys=SERIES, order: str = "day_num", names: tuple[str, str] | None = None
-                   ) -> DataFrame:
-    """Rolling mean and sample std over ``win`` rows of ``lag(col, shift)``."""
+                   keys=SERIES, order: str = "day_num", names: tuple[str, str] | None = None,
+                   integer_valued: bool | None = None) -> DataFrame:
+    """Rolling mean and sample std over ``win`` rows of ``lag(col, shift)``.
+
+    ``integer_valued`` (unit sales) uses exact running sums, O(rows);
+    otherwise a moving frame, O(rows x win). By default running sums are
+    used for wide windows only, where they pay off."""
+    if integer_valued is None:
+        integer_valued = win >= 14
     lagged = F.lag(col, shift).over(series_window(keys, order))
     tmp = f"__lag_{shift}"
     mean_name, std_name = names or (f"roll_mean_{win}", f"roll_std_{win}")
     out = df.withColumn(tmp, lagged)
-    out = out.withColumns({mean_name: rolling(tmp, win, "mean", keys, order),
-                           std_name: rolling(tmp, win, "std", keys, order)})
+    if integer_valued:
+        out = rolling_integer_stats(out, tmp, win, mean_name, std_name, keys, order)
+    else:
+        out = out.withColumns({mean_name: rolling(tmp, win, "mean", keys, order),
+                               std_name: rolling(tmp, win, "std", keys, order)})
     return out.drop(tmp)
 
 

@@ -1 +1,196 @@
-"""Modelling and evaluation queries (O-53..O-63)."""
+"""Forecast, evaluation and modelling queries (O-30..O-32, O-38, O-53..O-63, O-70, O-71)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as EV
+from ..operators.aggregates import last_known_attrs
+from . import forecast as FC
+from .catalog import register
+from .oracle import STATES, q
+
+SNAP_CASE = "CAST(CASE " + " ".join(
+    f"WHEN state_id = '{n}' THEN snap_{n.replace(' ', '_')}" for n, _ in STATES) + " END AS INTEGER)"
+
+NAIVE_SQL = """,
+pred AS (
+  SELECT item_id, store_id, day_num, sales, sell_price,
+         LAG(CAST(sales AS DOUBLE), 28) OVER (PARTITION BY item_id, store_id ORDER BY day_num) AS yhat
+  FROM fact),
+test AS (SELECT * FROM pred WHERE day_num > (SELECT hi FROM bounds) - 28),
+train AS (SELECT * FROM pred WHERE day_num <= (SELECT hi FROM bounds) - 28)
+"""
+
+
+def _naive_split(p):
+    lo, hi = p.bounds
+    f = p.fact().select("item_id", "store_id", "day_num", "sales", "sell_price")
+    return EV.time_split(EV.naive_forecast(f), hi), hi
+
+
+@register("time_split", q("""
+SELECT CASE WHEN day_num <= (SELECT hi FROM bounds) - 28 THEN 'train' ELSE 'test' END AS split,
+       CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(day_num) AS first_day, MAX(day_num) AS last_day,
+       CAST(SUM(sales) AS BIGINT) AS sales
+FROM fact GROUP BY 1"""))
+def time_split_q(p):
+    lo, hi = p.bounds
+    s = EV.time_split(p.fact(), hi)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("day_num").alias("first_day"),
+                                  F.max("day_num").alias("last_day"),
+                                  F.sum("sales").cast("bigint").alias("sales"))
+
+
+@register("backtest_store_rmse", q(NAIVE_SQL + """
+SELECT store_id, SQRT(AVG((sales - yhat) * (sales - yhat))) AS rmse, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM test GROUP BY store_id"""), rnd=("rmse",))
+def backtest_store_rmse(p):
+    s, hi = _naive_split(p)
+    return EV.store_rmse(s.where(F.col("split") == "test"))
+
+
+@register("backtest_mean_rmse", q(NAIVE_SQL + """
+SELECT AVG(rmse) AS mean_store_rmse, CAST(COUNT(*) AS BIGINT) AS n_stores FROM (
+  SELECT store_id, SQRT(AVG((sales - yhat) * (sales - yhat))) AS rmse FROM test GROUP BY store_id) t"""),
+          rnd=("mean_store_rmse",))
+def backtest_mean_rmse(p):
+    s, hi = _naive_split(p)
+    return EV.mean_store_rmse(EV.store_rmse(s.where(F.col("split") == "test")))
+
+
+@register("metrics_global", q(NAIVE_SQL + """
+SELECT SQRT(AVG((sales - yhat) * (sales - yhat))) AS rmse,
+       SUM(ABS(sales - yhat)) / SUM(CAST(sales AS DOUBLE)) AS wmape,
+       1.0 - ABS(SUM(CAST(sales AS DOUBLE)) - SUM(yhat)) / SUM(CAST(sales AS DOUBLE)) AS volume_accuracy,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM test"""), rnd=("rmse", "wmape", "volume_accuracy"))
+def metrics_global(p):
+    s, hi = _naive_split(p)
+    return EV.global_metrics(s.where(F.col("split") == "test"))
+
+
+RMSSE_SQL = NAIVE_SQL + """,
+scale AS (
+  SELECT item_id, store_id, AVG(dd * dd) AS scale FROM (
+    SELECT item_id, store_id,
+           CAST(sales AS DOUBLE) - LAG(CAST(sales AS DOUBLE)) OVER (PARTITION BY item_id, store_id ORDER BY day_num) AS dd
+    FROM train) t GROUP BY 1, 2),
+err AS (SELECT item_id, store_id, SUM((sales - yhat) * (sales - yhat)) / 28.0 AS mse,
+               CAST(COUNT(*) AS BIGINT) AS n_test FROM test GROUP BY 1, 2),
+rs AS (SELECT e.item_id, e.store_id, CASE WHEN s.scale > 0 THEN SQRT(e.mse / s.scale) END AS rmsse,
+              s.scale, e.n_test FROM err e LEFT JOIN scale s USING (item_id, store_id)),
+val AS (SELECT item_id, store_id, SUM(CAST(sales AS DOUBLE) * COALESCE(sell_price, 0.0)) AS value
+        FROM train WHERE day_num > (SELECT hi FROM bounds) - 56 GROUP BY 1, 2)
+"""
+
+
+def _rmsse(p):
+    s, hi = _naive_split(p)
+    return EV.rmsse(s.where(F.col("split") == "train"), s.where(F.col("split") == "test")), s, hi
+
+
+@register("rmsse", q(RMSSE_SQL + "SELECT item_id, store_id, rmsse, scale, n_test FROM rs"),
+          rnd=("rmsse", "scale"))
+def rmsse_q(p):
+    return _rmsse(p)[0]
+
+
+@register("wrmsse", q(RMSSE_SQL + """
+SELECT SUM(v.value * rs.rmsse) / SUM(v.value) AS wrmsse, CAST(COUNT(*) AS BIGINT) AS n_series
+FROM rs JOIN val v USING (item_id, store_id) WHERE rs.rmsse IS NOT NULL"""), rnd=("wrmsse",))
+def wrmsse_q(p):
+    r, s, hi = _rmsse(p)
+    w = EV.value_weights(s.where(F.col("split") == "train"), hi - 28)
+    return EV.wrmsse(r, w)
+
+
+# ----------------------------------------------------------- forecast frame
+LAST_SQL = f"""
+SELECT id, item_id, dept_id, cat_id, store_id, state_id, sell_price, {SNAP_CASE} AS snap
+FROM fact WHERE day_num = (SELECT hi FROM bounds)"""
+
+
+@register("last_known_attrs", q(LAST_SQL))
+def last_known_q(p):
+    lo, hi = p.bounds
+    return last_known_attrs(FC.history_with_snap(p), FC.LAST_ATTRS, "id", "day_num", hi)
+
+
+FUTURE_SQL = f""",
+lastv AS ({LAST_SQL}),
+fut AS (
+  SELECT l.id, CAST(g AS INTEGER) AS day_num, l.item_id, l.dept_id, l.cat_id, l.store_id, l.state_id,
+         l.sell_price, l.snap, 'NoEvent' AS event_name_1, 'NoEvent' AS event_type_1,
+         CAST(NULL AS INTEGER) AS sales, 'd_' || CAST(g AS VARCHAR) AS d
+  FROM lastv l, (SELECT unnest(generate_series(hi + 1, hi + 28)) AS g FROM bounds) t)
+"""
+
+
+@register("cross_future_grid", q(FUTURE_SQL + "SELECT id, day_num FROM fut"))
+def cross_future_grid_q(p):
+    from ..operators.joins import future_grid
+    lo, hi = p.bounds
+    ids = p.fact().select("id").distinct()
+    return future_grid(ids, hi + 1, 28)
+
+
+@register("join_last_known", q(FUTURE_SQL + """
+SELECT id, day_num, d, item_id, dept_id, cat_id, store_id, state_id, sell_price, snap,
+       event_name_1, event_type_1, sales FROM fut"""))
+def join_last_known_q(p):
+    lo, hi = p.bounds
+    return FC.future_rows(FC.history_with_snap(p), hi).select(
+        "id", "day_num", "d", "item_id", "dept_id", "cat_id", "store_id", "state_id", "sell_price",
+        "snap", "event_name_1", "event_type_1", "sales")
+
+
+@register("union_by_name", q(FUTURE_SQL + f"""
+SELECT id, day_num, sales, COALESCE(event_name_1, 'NoEvent') AS event_name_1, sell_price,
+       {SNAP_CASE} AS snap, wm_yr_wk
+FROM fact
+UNION ALL
+SELECT id, day_num, sales, event_name_1, sell_price, snap, CAST(NULL AS INTEGER) AS wm_yr_wk FROM fut"""))
+def union_by_name_q(p):
+    lo, hi = p.bounds
+    ext = FC.extend_history(FC.history_with_snap(p), hi)
+    return ext.select("id", "day_num", "sales", "event_name_1", "sell_price", "snap", "wm_yr_wk")
+
+
+PRED_SQL = FUTURE_SQL + """,
+ext AS (SELECT id, day_num, sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
+naive AS (SELECT id, day_num,
+                 CAST(LAG(sales, 28) OVER (PARTITION BY id ORDER BY day_num) AS DOUBLE) AS sales FROM ext)
+"""
+
+
+@register("predict_horizon", q(PRED_SQL + "SELECT id, day_num, sales FROM naive WHERE day_num > (SELECT hi FROM bounds)"))
+def predict_horizon_q(p):
+    return FC.naive_horizon(p)
+
+
+@register("submission", q(PRED_SQL + """
+SELECT * FROM (
+  PIVOT (SELECT id, 'F' || CAST(day_num - (SELECT hi FROM bounds) AS VARCHAR) AS F, sales
+         FROM naive WHERE day_num > (SELECT hi FROM bounds))
+  ON F IN ('F1','F2','F3','F4','F5','F6','F7','F8','F9','F10','F11','F12','F13','F14',
+           'F15','F16','F17','F18','F19','F20','F21','F22','F23','F24','F25','F26','F27','F28')
+  USING first(sales) GROUP BY id)"""))
+def submission_q(p):
+    lo, hi = p.bounds
+    return FC.submission(FC.naive_horizon(p), hi)
+
+
+@register("horizon_features", q(FUTURE_SQL + """,
+ext AS (SELECT id, day_num, sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
+lg AS (SELECT id, day_num, sales, LAG(sales, 28) OVER w AS lag_28, LAG(sales, 35) OVER w AS lag_35
+       FROM ext WINDOW w AS (PARTITION BY id ORDER BY day_num))
+SELECT id, day_num, sales, lag_28, lag_35,
+  CASE WHEN COUNT(lag_28) OVER r = 7 THEN AVG(lag_28) OVER r END AS rolling_mean_28_7,
+  CASE WHEN COUNT(lag_28) OVER r = 7 THEN STDDEV_SAMP(lag_28) OVER r END AS rolling_std_28_7
+FROM lg WINDOW r AS (PARTITION BY id ORDER BY day_num ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""),
+          rnd=("rolling_mean_28_7", "rolling_std_28_7"))
+def horizon_features_q(p):
+    lo, hi = p.bounds
+    ext = FC.extend_history(FC.history_with_snap(p), hi).select("id", "day_num", "sales")
+    return FC.horizon_features(ext)

@@ -86,19 +86,33 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "l_quantity", "l_extendedprice"))
 
 
-def sales_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse panel: one row per (item, store, day) that has any line."""
+def day_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse panel: one row per (item, store, day) with any line, carrying
+    the day's units and its highest unit price.
+
+    One aggregate serves both the sales cells and the weekly price table
+    (max of daily max = weekly max, exactly). Partial aggregation runs map
+    side; the result is then hash-partitioned on the series key once, and
+    every later step (densify join, price join, series windows) reuses that
+    partitioning instead of shuffling again."""
     return (lines(spark, sf_dir)
             .groupBy("item_id", "store_id", "state_id", "day_num")
-            .agg(F.sum("l_quantity").cast("int").alias("sales")))
+            .agg(F.sum("l_quantity").cast("int").alias("sales"),
+                 F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("max_unit_price"))
+            .repartition("item_id", "store_id"))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_cells(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+    cells = cells if cells is not None else day_cells(spark, sf_dir)
+    return cells.select("item_id", "store_id", "state_id", "day_num", "sales")
+
+
+def prices(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Weekly price table (A3): (store_id, item_id, wm_yr_wk) -> sell_price."""
-    return (lines(spark, sf_dir)
-            .withColumn("wm_yr_wk", F.floor((F.col("day_num") - 1) / 7).cast("int"))
-            .groupBy("store_id", "item_id", "wm_yr_wk")
-            .agg(F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("sell_price")))
+    cells = cells if cells is not None else day_cells(spark, sf_dir)
+    return (cells.withColumn("wm_yr_wk", F.floor((F.col("day_num") - 1) / 7).cast("int"))
+                 .groupBy("store_id", "item_id", "wm_yr_wk")
+                 .agg(F.max("max_unit_price").alias("sell_price")))
 
 
 def day_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
@@ -149,16 +163,17 @@ def calendar(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None =
     return days.withColumn("date", date).select("day_num", *cols)
 
 
-def dense_sales(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None
-                ) -> DataFrame:
+def dense_sales(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None,
+                cells: DataFrame | None = None) -> DataFrame:
     """Dense panel (O-50): every (item, store) series on every day."""
     from ..operators.windows import densify_panel
     lo, hi = bounds or day_bounds(spark, sf_dir)
-    return densify_panel(sales_cells(spark, sf_dir), lo, hi, carry=("state_id",))
+    return densify_panel(sales_cells(spark, sf_dir, cells), lo, hi, carry=("state_id",))
 
 
 def fact(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None,
-         states: list[tuple[str, int]] | None = None, with_day_num: bool = True) -> DataFrame:
+         states: list[tuple[str, int]] | None = None, with_day_num: bool = True,
+         cells: DataFrame | None = None) -> DataFrame:
     """Long fact table (A4): dense sales + calendar + weekly price."""
     from ..operators.joins import join_calendar, join_prices
     from ..operators.reshape import FACT_COLUMNS
@@ -166,13 +181,14 @@ def fact(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None
     states = states if states is not None else state_names(spark, sf_dir)
     cal = calendar(spark, sf_dir, bounds, states).drop(
         "date", "weekday", "event_name_2", "event_type_2")
-    dense = dense_sales(spark, sf_dir, bounds)
+    cells = cells if cells is not None else day_cells(spark, sf_dir)
+    dense = dense_sales(spark, sf_dir, bounds, cells)
     dense = dense.withColumns({
         "id": F.concat_ws("_", "item_id", "store_id"),
         **item_attrs(F.col("item_id")),
     })
     f = join_calendar(dense, cal, on="day_num", cal_rows=bounds[1] - bounds[0] + 1)
-    f = join_prices(f, prices(spark, sf_dir))
+    f = join_prices(f, prices(spark, sf_dir, cells))
     cols = FACT_COLUMNS + [snap_column(s) for s, _ in states] + ["sell_price"]
     if with_day_num:
         cols.append("day_num")
@@ -187,6 +203,7 @@ class Panel:
         self.spark, self.sf_dir = spark, sf_dir
         self._bounds = None
         self._states = None
+        self._cells = None
 
     @property
     def bounds(self) -> tuple[int, int]:
@@ -203,17 +220,24 @@ class Panel:
     def table(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
+    def day_cells(self) -> DataFrame:
+        # One DataFrame object shared by every consumer, so identical
+        # subtrees are planned once and their exchanges are reused.
+        if self._cells is None:
+            self._cells = day_cells(self.spark, self.sf_dir)
+        return self._cells
+
     def cells(self) -> DataFrame:
-        return sales_cells(self.spark, self.sf_dir)
+        return sales_cells(self.spark, self.sf_dir, self.day_cells())
 
     def prices(self) -> DataFrame:
-        return prices(self.spark, self.sf_dir)
+        return prices(self.spark, self.sf_dir, self.day_cells())
 
     def calendar(self) -> DataFrame:
         return calendar(self.spark, self.sf_dir, self.bounds, self.states)
 
     def dense(self) -> DataFrame:
-        return dense_sales(self.spark, self.sf_dir, self.bounds)
+        return dense_sales(self.spark, self.sf_dir, self.bounds, self.day_cells())
 
     def fact(self) -> DataFrame:
-        return fact(self.spark, self.sf_dir, self.bounds, self.states)
+        return fact(self.spark, self.sf_dir, self.bounds, self.states, cells=self.day_cells())
