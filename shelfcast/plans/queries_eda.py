@@ -179,3 +179,90 @@ def series_sample(p):
     f = p.fact().where(hash_bucket("item_id", 20, "md5") == 0)
     return f.groupBy("item_id", "store_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("sales").cast("bigint").alias("sales"))
+
+
+# ------------------------------------------------------- scalar functions
+from ..functions import (day_label, day_to_date, date_parts, event_flag, horizon_label,  # noqa: E402
+                         log_scale, pct, safe_ratio, state_prefix, unlog_scale)
+from ..operators.aggregates import store_day_agg  # noqa: E402
+
+
+@register("day_to_date", q("""
+SELECT DISTINCT day_num, CAST(DATE '2011-01-29' + (day_num - 1) AS DATE) AS date FROM fact"""))
+def day_to_date_q(p):
+    return p.fact().select("day_num").distinct().select("day_num", day_to_date("day_num").alias("date"))
+
+
+@register("date_parts", q("""
+SELECT day_num, CAST(isodow(dt) - 1 AS TINYINT) AS wday, CAST(month(dt) AS TINYINT) AS month,
+       CAST(day(dt) AS TINYINT) AS day
+FROM (SELECT DISTINCT day_num, CAST(DATE '2011-01-29' + (day_num - 1) AS DATE) AS dt FROM fact) t"""))
+def date_parts_q(p):
+    f = p.fact().select("day_num").distinct().withColumn("dt", day_to_date("day_num"))
+    parts = date_parts("dt")
+    return f.select("day_num", parts["wday"].alias("wday"), parts["month"].alias("month"),
+                    parts["day"].alias("day"))
+
+
+@register("build_labels", q("""
+SELECT id, day_num, 'd_' || CAST(day_num AS VARCHAR) AS d_label,
+       'F' || CAST(day_num - ((SELECT hi FROM bounds) - 28) AS VARCHAR) AS f_label
+FROM fact WHERE day_num > (SELECT hi FROM bounds) - 28"""))
+def build_labels_q(p):
+    lo, hi = p.bounds
+    f = p.fact().where(F.col("day_num") > hi - 28)
+    return f.select("id", "day_num", day_label(F.col("day_num")).alias("d_label"),
+                    horizon_label(F.col("day_num"), hi - 28).alias("f_label"))
+
+
+@register("event_flag", q("""
+SELECT event_name_1, CASE WHEN COALESCE(event_name_1, 'NoEvent') = 'NoEvent' THEN 0 ELSE 1 END AS is_event,
+       CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM fact GROUP BY event_name_1"""))
+def event_flag_q(p):
+    return (p.fact().groupBy("event_name_1").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select("event_name_1", event_flag("event_name_1").alias("is_event"), "n_rows"))
+
+
+@register("log_scale", q(f"""
+SELECT store_id, day_num, LN(1 + CAST(sales AS DOUBLE)) AS log_sales,
+       EXP(LN(1 + CAST(sales AS DOUBLE))) - 1 AS sales_back
+FROM (SELECT store_id, day_num, SUM(sales) AS sales FROM fact GROUP BY 1, 2) t"""),
+          rnd=("log_sales", "sales_back"))
+def log_scale_q(p):
+    agg = p.fact().groupBy("store_id", "day_num").agg(F.sum("sales").alias("sales"))
+    return agg.select("store_id", "day_num", log_scale(F.col("sales").cast("double")).alias("log_sales"),
+                      unlog_scale(log_scale(F.col("sales").cast("double"))).alias("sales_back"))
+
+
+@register("state_prefix", q("""
+SELECT DISTINCT store_id, SUBSTR(store_id, 1, 2) AS prefix FROM fact"""))
+def state_prefix_q(p):
+    return p.fact().select("store_id", state_prefix("store_id").alias("prefix")).distinct()
+
+
+@register("arith_misc", q("""
+SELECT store_id, CAST(SUM(CASE WHEN sales = 0 THEN 1 ELSE 0 END) AS BIGINT) * 100.0 / COUNT(*) AS zero_pct,
+       SUM(CAST(sales AS DOUBLE)) / NULLIF(SUM(CASE WHEN sales > 0 THEN 1 ELSE 0 END), 0) AS units_per_sale_day,
+       ABS(SUM(CAST(sales AS DOUBLE)) - 1000.0) AS abs_gap,
+       SQRT(SUM(CAST(sales AS DOUBLE))) AS sqrt_units,
+       SUM(CAST(sales AS DOUBLE)) * SUM(CAST(sales AS DOUBLE)) AS square_units
+FROM fact GROUP BY store_id"""), rnd=("zero_pct", "units_per_sale_day", "abs_gap", "sqrt_units",
+                                     "square_units"))
+def arith_misc_q(p):
+    s = F.col("sales").cast("double")
+    g = p.fact().groupBy("store_id").agg(
+        F.sum(F.when(F.col("sales") == 0, 1).otherwise(0)).alias("zeros"),
+        F.count(F.lit(1)).alias("n"), F.sum(s).alias("units"),
+        F.sum(F.when(F.col("sales") > 0, 1).otherwise(0)).alias("sale_days"))
+    return g.select("store_id", pct("zeros", "n").alias("zero_pct"),
+                    safe_ratio("units", F.col("sale_days").cast("double")).alias("units_per_sale_day"),
+                    F.abs(F.col("units") - 1000.0).alias("abs_gap"), F.sqrt("units").alias("sqrt_units"),
+                    (F.col("units") * F.col("units")).alias("square_units"))
+
+
+@register("hash_bucket", q("""
+SELECT DISTINCT item_id, CAST(CAST(('0x' || SUBSTR(md5(item_id), 1, 8)) AS BIGINT) % 20 AS BIGINT) AS bucket
+FROM fact"""))
+def hash_bucket_q(p):
+    return p.fact().select("item_id", hash_bucket("item_id", 20, "md5").alias("bucket")).distinct()

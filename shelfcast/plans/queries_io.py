@@ -1 +1,196 @@
-"""Source and sink queries (O-1..O-14)."""
+"""Source, sink and data-quality queries (O-1..O-13, O-64..O-66).
+
+Write-then-read queries stage their output in a fresh folder under the
+session's shared checkpoint folder and return the read-back DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import quality as Q
+from ..session import scratch_path
+from ..sources import files as IO
+from ..sources.tpch_panel import TABLES, snap_column
+from . import forecast as FC
+from .catalog import register
+from .etl import ID_COLS, wide_sales
+from .oracle import SNAP_COLS, q
+from .queries_panel import FACT_SELECT
+
+FACT_COLS = [c.strip() for c in FACT_SELECT.split(",")]
+
+
+def _written_fact(p, partition_by="store_id"):
+    path = scratch_path(p.spark, "fact")
+    IO.write_fact(p.fact(), path, partition_by)
+    return path
+
+
+@register("scan_wide", q("""
+SELECT * FROM (
+  PIVOT (SELECT item_id || '_' || store_id AS id, item_id,
+                'DEPT_' || CAST(CAST(regexp_extract(item_id, '(\\d+)$', 1) AS INTEGER) % 6 AS VARCHAR) AS dept_id,
+                'CAT_' || CAST(CAST(regexp_extract(item_id, '(\\d+)$', 1) AS INTEGER) % 6 % 3 AS VARCHAR) AS cat_id,
+                store_id, state_id, 'd_' || CAST(day_num AS VARCHAR) AS d, sales FROM dense)
+  ON d USING first(sales) GROUP BY id, item_id, dept_id, cat_id, store_id, state_id)"""))
+def scan_wide_q(p):
+    lo, hi = p.bounds
+    path = scratch_path(p.spark, "wide_csv")
+    IO.write_csv(wide_sales(p), path)
+    return IO.scan_wide(p.spark, path, [f"d_{n}" for n in range(lo, hi + 1)])
+
+
+@register("scan_calendar", q(f"""
+SELECT date, wm_yr_wk, weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2,
+       event_type_2, {SNAP_COLS} FROM calendar"""))
+def scan_calendar_q(p):
+    path = scratch_path(p.spark, "calendar_csv")
+    snaps = [snap_column(s) for s, _ in p.states]
+    IO.write_csv(p.calendar().drop("day_num"), path)
+    return IO.scan_calendar(p.spark, path, snaps)
+
+
+@register("scan_prices", q("SELECT store_id, item_id, wm_yr_wk, sell_price FROM prices"))
+def scan_prices_q(p):
+    path = scratch_path(p.spark, "prices_csv")
+    IO.write_csv(p.prices(), path)
+    return IO.scan_prices(p.spark, path)
+
+
+@register("write_fact", q(f"SELECT {FACT_SELECT} FROM fact"))
+def write_fact_q(p):
+    # O-4 write + O-5 full scan of what was written.
+    return IO.scan_fact(p.spark, _written_fact(p)).select(*FACT_COLS)
+
+
+@register("scan_store_slice", q("""
+SELECT id, item_id, dept_id, cat_id, store_id, d, sales, sell_price, event_name_1, event_type_1,
+       snap_AMERICA FROM fact WHERE store_id = 'NATION_1'"""))
+def scan_store_slice_q(p):
+    # NATION_1 belongs to region AMERICA (key 1): its own SNAP column.
+    path = _written_fact(p)
+    return IO.scan_store_slice(p.spark, path, "NATION_1", "snap_AMERICA")
+
+
+@register("sql_on_file", q("""
+SELECT CAST(SUBSTR(d, 3) AS INTEGER) AS day_num, CAST(SUM(sales) AS BIGINT) AS total_sales
+FROM fact GROUP BY 1"""))
+def sql_on_file_q(p):
+    path = _written_fact(p, None)
+    return IO.sql_on_file(p.spark, path, """
+        SELECT CAST(SUBSTR(d, 3) AS INT) AS day_num, CAST(SUM(sales) AS BIGINT) AS total_sales
+        FROM {t} GROUP BY 1 ORDER BY 1""")
+
+
+@register("write_parquet_snappy", "SELECT * FROM lineitem")
+def write_parquet_snappy_q(p):
+    path = scratch_path(p.spark, "lineitem_snappy")
+    IO.write_parquet_snappy(p.table("lineitem"), path)
+    return p.spark.read.parquet(path)
+
+
+@register("table_append_batches", q("""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(SUM(sales) AS BIGINT) AS total_sales FROM fact"""))
+def table_append_batches_q(p):
+    staged = _written_fact(p)
+    table = scratch_path(p.spark, "sales_table")
+    IO.table_append(p.spark.read.parquet(staged), table)
+    t = p.spark.read.parquet(table)
+    return t.agg(F.count(F.lit(1)).alias("total_rows"), F.sum("sales").cast("bigint").alias("total_sales"))
+
+
+@register("file_row_counts", q("""
+SELECT store_id AS part, CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST(SUM(COUNT(*)) OVER (ORDER BY store_id) AS BIGINT) AS running_total
+FROM fact GROUP BY store_id"""))
+def file_row_counts_q(p):
+    # Rows per file, rolled up to the store folder each file sits in (file
+    # names are random), with the running total in folder order.
+    path = _written_fact(p)
+    per_file = (p.spark.read.parquet(path)
+                 .groupBy(F.col("_metadata.file_path").alias("file_path"))
+                 .agg(F.count(F.lit(1)).alias("rows")))
+    per_part = (per_file.groupBy(F.regexp_extract("file_path", r"store_id=([^/]+)", 1).alias("part"))
+                        .agg(F.sum("rows").cast("bigint").alias("rows")))
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)  # one row per folder
+    return per_part.withColumn("running_total", F.sum("rows").over(w).cast("bigint"))
+
+
+@register("largest_table", "SELECT table_name, rows FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}" for t in TABLES)
+    + ") t WHERE rows > 0 ORDER BY rows DESC, table_name LIMIT 1")
+def largest_table_q(p):
+    return IO.largest_table({t: p.table(t) for t in TABLES})
+
+
+def _submission_sql():
+    from .queries_model import PRED_SQL, SUBMISSION_BODY
+    return q(PRED_SQL + SUBMISSION_BODY)
+
+
+@register("write_submission_csv", _submission_sql())
+def write_submission_csv_q(p):
+    lo, hi = p.bounds
+    path = scratch_path(p.spark, "submission_csv")
+    sub = FC.submission(FC.naive_horizon(p), hi)
+    IO.write_submission_csv(sub, path, single_file=True)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.StringType())] +
+                          [T.StructField(f"F{i}", T.DoubleType()) for i in range(1, 29)])
+    return p.spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("sql_store_summary", q("""
+SELECT store_id, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(SUM(sales) AS BIGINT) AS total_sales
+FROM fact GROUP BY store_id ORDER BY store_id"""))
+def sql_store_summary_q(p):
+    path = _written_fact(p)
+    view = "sales_data_" + path.rsplit("-", 1)[-1]
+    p.spark.read.parquet(path).createOrReplaceTempView(view)
+    return p.spark.sql(f"""
+        SELECT store_id, COUNT(*) AS row_count, CAST(SUM(sales) AS BIGINT) AS total_sales
+        FROM {view} GROUP BY store_id ORDER BY store_id""")
+
+
+# ----------------------------------------------------------------- quality
+@register("dq_duplicate_keys", q("""
+SELECT store_id, item_id, d, CAST(COUNT(*) AS BIGINT) AS cnt FROM fact
+GROUP BY store_id, item_id, d HAVING COUNT(*) > 1 ORDER BY 1, 2, 3 LIMIT 5"""))
+def dq_duplicate_keys_q(p):
+    return Q.duplicate_keys(p.fact(), ["store_id", "item_id", "d"], limit=5)
+
+
+@register("dq_duplicate_lines", """
+SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS cnt FROM lineitem
+GROUP BY 1, 2 HAVING COUNT(*) > 1 ORDER BY 1, 2 LIMIT 5""")
+def dq_duplicate_lines_q(p):
+    # (l_orderkey, l_linenumber) is not unique in the driver data: the check
+    # must find and report the first five duplicated keys.
+    return Q.duplicate_keys(p.table("lineitem"), ["l_orderkey", "l_linenumber"], limit=5)
+
+
+@register("dq_file_verify", q(f"""
+SELECT TRUE AS size_warning, {len(FACT_COLS)} AS n_columns, CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST({' + '.join(f'COUNT({c})' for c in FACT_COLS)} AS BIGINT) AS non_null_cells
+FROM fact"""))
+def dq_file_verify_q(p):
+    path = scratch_path(p.spark, "fact_flat")
+    IO.write_fact(p.fact(), path, None)
+    return Q.file_verify(p.spark, path).select("size_warning", "n_columns", "rows", "non_null_cells")
+
+
+@register("dq_row_conservation", q("""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT (item_id, store_id)) AS BIGINT) AS n_series,
+       CAST(COUNT(DISTINCT d) AS BIGINT) AS n_days,
+       CAST(COUNT(DISTINCT (item_id, store_id)) * COUNT(DISTINCT d) AS BIGINT) AS expected_rows,
+       COUNT(*) = COUNT(DISTINCT (item_id, store_id)) * COUNT(DISTINCT d) AS conserved,
+       CAST(COUNT(*) AS BIGINT) AS rows_written, TRUE AS write_conserved
+FROM (SELECT item_id, store_id, 'd_' || day_num AS d FROM dense) t"""))
+def dq_row_conservation_q(p):
+    from ..operators.reshape import melt
+    long = melt(wide_sales(p), ID_COLS, r"^d_\d+$", "d", "sales")
+    path = scratch_path(p.spark, "melted")
+    long.write.mode("overwrite").parquet(path)
+    return Q.row_conservation(long, ["item_id", "store_id"], "d", written=p.spark.read.parquet(path))

@@ -169,13 +169,16 @@ def predict_horizon_q(p):
     return FC.naive_horizon(p)
 
 
-@register("submission", q(PRED_SQL + """
+SUBMISSION_BODY = """
 SELECT * FROM (
   PIVOT (SELECT id, 'F' || CAST(day_num - (SELECT hi FROM bounds) AS VARCHAR) AS F, sales
          FROM naive WHERE day_num > (SELECT hi FROM bounds))
   ON F IN ('F1','F2','F3','F4','F5','F6','F7','F8','F9','F10','F11','F12','F13','F14',
            'F15','F16','F17','F18','F19','F20','F21','F22','F23','F24','F25','F26','F27','F28')
-  USING first(sales) GROUP BY id)"""))
+  USING first(sales) GROUP BY id)"""
+
+
+@register("submission", q(PRED_SQL + SUBMISSION_BODY))
 def submission_q(p):
     lo, hi = p.bounds
     return FC.submission(FC.naive_horizon(p), hi)
