@@ -197,3 +197,137 @@ def horizon_features_q(p):
     lo, hi = p.bounds
     ext = FC.extend_history(FC.history_with_snap(p), hi).select("id", "day_num", "sales")
     return FC.horizon_features(ext)
+
+
+# ------------------------------------------------------------------ models
+from ..operators import boosting as B  # noqa: E402
+from ..operators import encode as E  # noqa: E402
+from ..operators import trend as TR  # noqa: E402
+from ..operators.aggregates import store_day_agg  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from . import train as TRN  # noqa: E402
+
+# Boosting settings of the registered demo queries: fewer, larger steps than
+# the library defaults (90 rounds at 0.1), so the driver's check stays short.
+DEMO = dict(rounds=8, learning_rate=0.3, max_depth=5, checkpoint_every=4)
+
+ENC_COLS = ["store_id", "dept_id", "cat_id", "event_name_1"]
+
+
+@register("ordinal_encode", q(""",
+tr AS (SELECT * FROM fact WHERE day_num <= (SELECT hi FROM bounds) - 28),
+""" + ",\n".join(f"""m_{c} AS (SELECT v, CAST(ROW_NUMBER() OVER (ORDER BY v ASC NULLS FIRST) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT {c} AS v FROM tr) t),
+a_{c} AS (SELECT '{c}' AS column_name, a.v AS value, CAST(COALESCE(m.code, -1) AS INTEGER) AS code
+          FROM (SELECT DISTINCT {c} AS v FROM fact) a LEFT JOIN m_{c} m ON a.v IS NOT DISTINCT FROM m.v)"""
+                 for c in ENC_COLS) + "\n" + " UNION ALL ".join(f"SELECT * FROM a_{c}" for c in ENC_COLS)))
+def ordinal_encode_q(p):
+    lo, hi = p.bounds
+    f = p.fact()
+    maps = E.fit_ordinal(f.where(F.col("day_num") <= hi - 28), ENC_COLS)
+    enc = E.apply_ordinal(f, maps)
+    parts = [enc.select(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                        F.col(c + "_code").alias("code")).distinct() for c in ENC_COLS]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+TREND_SQL = f""",
+sd AS (SELECT store_id, day_num, SUM(sales) AS sales, MAX({SNAP_CASE}) AS snap,
+              CASE WHEN COALESCE(MAX(event_name_1), 'NoEvent') = 'NoEvent' THEN 0 ELSE 1 END AS is_event
+       FROM fact GROUP BY store_id, day_num),
+x AS (SELECT store_id, day_num, LN(1 + CAST(sales AS DOUBLE)) AS y, CAST(snap AS DOUBLE) AS snap,
+             CAST(is_event AS DOUBLE) AS is_event, 1.0 AS one,
+             LAG(LN(1 + CAST(sales AS DOUBLE)), 1) OVER w AS y1, LAG(LN(1 + CAST(sales AS DOUBLE)), 7) OVER w AS y7,
+             LAG(LN(1 + CAST(sales AS DOUBLE)), 8) OVER w AS y8
+      FROM sd WINDOW w AS (PARTITION BY store_id ORDER BY day_num)),
+xf AS (SELECT * FROM x WHERE y1 IS NOT NULL AND y7 IS NOT NULL AND y8 IS NOT NULL)
+"""
+_GRAM_COLS = []
+for _i, _a in enumerate(TR.REGRESSORS):
+    for _b in TR.REGRESSORS[_i:]:
+        _GRAM_COLS.append((f"SUM({_a} * {_b})", f"xx_{_a}_{_b}"))
+    _GRAM_COLS.append((f"SUM({_a} * y)", f"xy_{_a}"))
+
+
+@register("trend_gram", q(TREND_SQL + "SELECT store_id, " + ", ".join(f"{e} AS {n}" for e, n in _GRAM_COLS)
+                          + ", CAST(COUNT(*) AS BIGINT) AS n_obs FROM xf GROUP BY store_id"),
+          rnd=tuple(n for _, n in _GRAM_COLS), digits=4)
+def trend_gram_q(p):
+    sd = store_day_agg(FC.history_with_snap(p))
+    return TR.gram_sums(TR.design(sd))
+
+
+@register("trend_arx", None)
+def trend_arx_q(p):
+    lo, hi = p.bounds
+    sd = store_day_agg(FC.history_with_snap(p))
+    return TR.fit_forecast(sd, hi)
+
+
+@register("trend_lookup", None)
+def trend_lookup_q(p):
+    lo, hi = p.bounds
+    sd = store_day_agg(FC.history_with_snap(p))
+    return TR.trend_lookup(sd, hi, "fitted")
+
+
+@register("train_poisson", None)
+def train_poisson_q(p):
+    res, pred = TRN.global_backtest(p, B.BoostParams(power=1.0, **DEMO))
+    return pred
+
+
+@register("train_tweedie", None)
+def train_tweedie_q(p):
+    res, pred = TRN.global_backtest(p, B.BoostParams(power=1.1, row_fraction=0.8, col_fraction=0.8,
+                                                     **DEMO))
+    return pred
+
+
+@register("early_stop", None)
+def early_stop_q(p):
+    params = B.BoostParams(power=1.1, early_stopping_rounds=3, **{**DEMO, "rounds": 10})
+    res, pred = TRN.global_backtest(p, params)
+    rows = [(h["round"], float(h["valid_rmse"]), res.best_round) for h in res.history]
+    return p.spark.createDataFrame(rows, "round int, valid_rmse double, best_round int")
+
+
+@register("model_save_load", None)
+def model_save_load_q(p):
+    res, pred = TRN.global_backtest(p, B.BoostParams(power=1.1, **{**DEMO, "rounds": 4}))
+    path = scratch_path(p.spark, "model")
+    res.model.write().overwrite().save(path)
+    from pyspark.ml import PipelineModel
+    loaded = PipelineModel.load(path)
+    f, feats = TRN.global_frame(p)
+    test = f.where(F.col("split") == "test").select("item_id", "store_id", "day_num", *feats)
+    again = loaded.transform(test).select("item_id", "store_id", "day_num",
+                                          F.col("prediction").alias("yhat_loaded"))
+    return (pred.join(again, ["item_id", "store_id", "day_num"])
+                .withColumn("same", F.abs(F.col("yhat") - F.col("yhat_loaded")) < 1e-9))
+
+
+@register("hybrid_submission", None)
+def hybrid_submission_q(p):
+    res, pred, last = TRN.hybrid_forecast(p, B.BoostParams(power=1.1, row_fraction=0.8,
+                                                          col_fraction=0.8, **DEMO))
+    return FC.submission(pred, last)
+
+
+@register("hybrid_backtest", None)
+def hybrid_backtest_q(p):
+    lo, hi = p.bounds
+    res, pred, last = TRN.hybrid_forecast(p, B.BoostParams(power=1.1, **DEMO), last_day=hi - 28)
+    actual = p.fact().where(F.col("day_num") > last).select("id", "store_id", "day_num", "sales")
+    j = actual.join(pred.withColumnRenamed("sales", "yhat"), ["id", "day_num"])
+    return EV.store_rmse(j)
+
+
+@register("row_sample", None)
+def row_sample_q(p):
+    # 10% of non-zero rows, at most 100,000 (the sampling operator itself).
+    return (p.fact().where(F.col("sales") > 0).select("sales")
+             .sample(fraction=0.1, seed=7).limit(100_000))
