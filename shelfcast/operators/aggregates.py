@@ -153,18 +153,35 @@ def price_kde(points: DataFrame, col: str = "sell_price", grid_size: int = 200)
     var = vals.agg((F.sum(F.col("m") * (F.col("v") - F.lit(mean)) ** 2) / F.lit(max(n - 1, 1)))
                    .alias("var")).first()["var"]
     h = (var ** 0.5) * n ** (-0.2)
-    k = F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("k")
+    step = (hi - lo) / (grid_size - 1) if grid_size > 1 else 0.0
+    # Each value only reaches grid points within CUTOFF bandwidths: beyond
+    # that a kernel term is below exp(-50) of its peak, far under double
+    # precision of the sum. This keeps the fan-out per value bounded by the
+    # bandwidth, not by the grid size.
+    reach = KDE_CUTOFF * h
+    if step > 0:
+        kmin = F.greatest(F.lit(0), F.ceil((F.col("v") - F.lit(reach) - F.lit(lo)) / F.lit(step)).cast("int"))
+        kmax = F.least(F.lit(grid_size - 1),
+                       F.floor((F.col("v") + F.lit(reach) - F.lit(lo)) / F.lit(step)).cast("int"))
+    else:
+        kmin, kmax = F.lit(0), F.lit(grid_size - 1)
+    k = F.explode(F.sequence(kmin, kmax)).alias("k")
     gx = F.lit(lo) + F.lit(hi - lo) * F.col("k") / F.lit(grid_size - 1)
     u = (gx - F.col("v")) / F.lit(h)
     norm = 1.0 / (n * h * (2 * 3.141592653589793) ** 0.5)
-    return (vals.select("v", "m", k)
-                .groupBy("k").agg((F.sum(F.col("m") * F.exp(-0.5 * u * u)) * F.lit(norm)).alias("density"))
-                .select(F.col("k").cast("int").alias("k"),
-                        (F.lit(lo) + F.lit(hi - lo) * F.col("k") / F.lit(grid_size - 1)).alias("x"),
-                        "density")
+    dens = (vals.where(kmin <= kmax).select("v", "m", k)
+                .groupBy("k").agg((F.sum(F.col("m") * F.exp(-0.5 * u * u)) * F.lit(norm)).alias("density")))
+    # Grid points no value reaches have density 0 (fixed-size grid: 200 rows).
+    grid = vals.sparkSession.range(grid_size).select(F.col("id").cast("int").alias("k"))
+    return (grid.join(dens, "k", "left")
+                .select("k", (F.lit(lo) + F.lit(hi - lo) * F.col("k") / F.lit(grid_size - 1)).alias("x"),
+                        F.coalesce("density", F.lit(0.0)).alias("density"))
                 .orderBy("k"))
 
 
+KDE_CUTOFF = 10.0
+
+
 # O-72 ----------------------------------------------------------------------
 def price_response(fact: DataFrame, price: str = "sell_price", sales: str = "sales",
                    by: Sequence[str] = ("dept_id",), bucket: float = 1.0) -> DataFrame:

@@ -29,14 +29,24 @@ def fit_categories(train: DataFrame, column: str) -> DataFrame:
 
 
 def fit_ordinal(train: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
-    return {c: fit_categories(train, c) for c in columns}
+    """Category tables of several columns from ONE pass over the training
+    rows: (column, value) pairs are stacked, de-duplicated and numbered per
+    column. The small result is checkpointed so each later broadcast reads
+    the dictionary, not the training rows again."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    stacked = train.select(F.expr(f"stack({len(columns)}, {pairs}) AS (column_name, value)"))
+    w = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_first())
+    table = (stacked.distinct()
+                    .withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+                    .checkpoint(eager=True))
+    return {c: table.where(F.col("column_name") == c).select("value", "code") for c in columns}
 
 
 def apply_ordinal(df: DataFrame, maps: dict[str, DataFrame], suffix: str = "_code") -> DataFrame:
     out = df
     for c, m in maps.items():
         m = bounded_broadcast(m.select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(c + suffix)))
-        out = (out.join(m, F.col(c).eqNullSafe(F.col(f"__v_{c}")), "left")
+        out = (out.join(m, F.col(c).cast("string").eqNullSafe(F.col(f"__v_{c}")), "left")
                   .drop(f"__v_{c}")
                   .withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(UNSEEN))))
     return out

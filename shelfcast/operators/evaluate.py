@@ -88,12 +88,15 @@ def rmsse(history: DataFrame, pred: DataFrame, keys: Sequence[str] = SERIES,
 # O-62 -----------------------------------------------------------------------
 def value_weights(history: DataFrame, last_train_day: int, keys: Sequence[str] = SERIES,
                   y: str = "sales", price: str = "sell_price", day: str = "day_num",
-                  window: int = HORIZON) -> DataFrame:
+                  window: int = HORIZON, share: bool = True) -> DataFrame:
     """Weight of each series = its sales value (units x price) over the last
-    ``window`` training days, as a share of the total."""
+    ``window`` training days, as a share of the total (``share=False`` keeps
+    raw values, which is all WRMSSE needs)."""
     recent = history.where((F.col(day) > last_train_day - window) & (F.col(day) <= last_train_day))
     val = recent.groupBy(*keys).agg(
         F.sum(F.col(y).cast("double") * F.coalesce(F.col(price), F.lit(0.0))).alias("value"))
+    if not share:
+        return val
     # The share needs the grand total: one scalar aggregate, not a window
     # over all series in one partition.
     total = val.agg(F.sum("value")).first()[0]

@@ -101,7 +101,7 @@ SELECT SUM(v.value * rs.rmsse) / SUM(v.value) AS wrmsse, CAST(COUNT(*) AS BIGINT
 FROM rs JOIN val v USING (item_id, store_id) WHERE rs.rmsse IS NOT NULL"""), rnd=("wrmsse",))
 def wrmsse_q(p):
     r, s, hi = _rmsse(p)
-    w = EV.value_weights(s.where(F.col("split") == "train"), hi - 28)
+    w = EV.value_weights(s.where(F.col("split") == "train"), hi - 28, share=False)
     return EV.wrmsse(r, w)
 
 
