@@ -266,3 +266,32 @@ SELECT DISTINCT item_id, CAST(CAST(('0x' || SUBSTR(md5(item_id), 1, 8)) AS BIGIN
 FROM fact"""))
 def hash_bucket_q(p):
     return p.fact().select("item_id", hash_bucket("item_id", 20, "md5").alias("bucket")).distinct()
+
+
+@register("seasonality", q("""
+SELECT 'wday' AS grain, wday AS period, AVG(sales) AS avg_sales FROM fact GROUP BY wday
+UNION ALL
+SELECT 'month' AS grain, month AS period, AVG(sales) AS avg_sales FROM fact GROUP BY month"""),
+          rnd=("avg_sales",))
+def seasonality_q(p):
+    f = p.fact()
+    w = A.seasonality(f, "wday").select(F.lit("wday").alias("grain"), F.col("wday").alias("period"), "avg_sales")
+    m = A.seasonality(f, "month").select(F.lit("month").alias("grain"), F.col("month").alias("period"),
+                                         "avg_sales")
+    return w.unionByName(m)
+
+
+@register("event_gaps", """
+WITH act AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+g AS (SELECT user_id, CAST(date_diff('day', LAG(day) OVER (PARTITION BY user_id ORDER BY day), day) AS INTEGER) AS gap
+      FROM act)
+SELECT user_id, AVG(gap) AS avg_gap, MAX(gap) AS max_gap, CAST(COUNT(*) AS BIGINT) AS n_gaps
+FROM g WHERE gap IS NOT NULL GROUP BY user_id""", rnd=("avg_gap",))
+def event_gaps_q(p):
+    # Inter-arrival gaps on the events table: user x active day, the same
+    # gap operator (O-49) and summary (O-42) with the user as series key.
+    ev = p.table("events").select("user_id", F.to_date("ts").alias("day")).distinct()
+    ev = ev.withColumn("day_num", F.datediff("day", F.lit("1970-01-01").cast("date"))) \
+           .withColumn("active", F.lit(1))
+    gaps = sale_gaps(ev, keys=("user_id",), order="day_num", sales="active")
+    return A.gap_summary(gaps, by=["user_id"])

@@ -135,7 +135,7 @@ def write_submission_csv_q(p):
     lo, hi = p.bounds
     path = scratch_path(p.spark, "submission_csv")
     sub = FC.submission(FC.naive_horizon(p), hi)
-    IO.write_submission_csv(sub, path, single_file=True)
+    IO.write_submission_csv(sub, path)
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("id", T.StringType())] +
                           [T.StructField(f"F{i}", T.DoubleType()) for i in range(1, 29)])
@@ -194,3 +194,32 @@ def dq_row_conservation_q(p):
     path = scratch_path(p.spark, "melted")
     long.write.mode("overwrite").parquet(path)
     return Q.row_conservation(long, ["item_id", "store_id"], "d", written=p.spark.read.parquet(path))
+
+
+# --------------------------------------------------------------- streaming
+@register("stream_ingest_fact", q(f"SELECT {FACT_SELECT} FROM fact"))
+def stream_ingest_fact_q(p):
+    """Wide sales land as files (one per state); a Structured Streaming
+    query appends them to the fact table; the table is read back."""
+    from ..streaming.ingest import long_fact_stream, run_available_now, wide_stream
+    lo, hi = p.bounds
+    labels = [f"d_{n}" for n in range(lo, hi + 1)]
+    landing = scratch_path(p.spark, "landing")
+    wide = wide_sales(p)
+    # Several files in the landing folder (one per write task).
+    wide.write.option("header", True).csv(landing)
+    snaps = [snap_column(s) for s, _ in p.states]
+    cal = p.calendar().select("d", "wm_yr_wk", "wday", "month", "year", "event_name_1",
+                              "event_type_1", *snaps, "day_num")
+    stream = wide_stream(p.spark, landing, IO.wide_schema(labels))
+    fact = long_fact_stream(stream, ID_COLS, cal, p.prices(), FACT_COLS, cal_rows=hi - lo + 1)
+    sink = scratch_path(p.spark, "fact_stream")
+    run_available_now(fact, sink, scratch_path(p.spark, "fact_stream_ckpt"))
+    return p.spark.read.parquet(sink).select(*FACT_COLS)
+
+
+@register("scan_fact", q(f"SELECT {FACT_SELECT} FROM fact"))
+def scan_fact_q(p):
+    # O-5: full scan of a fact table written unpartitioned (O-4 writes it).
+    path = _written_fact(p, None)
+    return IO.scan_fact(p.spark, path).select(*FACT_COLS)

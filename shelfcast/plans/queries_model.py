@@ -331,3 +331,18 @@ def row_sample_q(p):
     # 10% of non-zero rows, at most 100,000 (the sampling operator itself).
     return (p.fact().where(F.col("sales") > 0).select("sales")
              .sample(fraction=0.1, seed=7).limit(100_000))
+
+
+@register("join_trend", q(f""",
+sd AS (SELECT store_id, day_num, CAST(SUM(sales) AS DOUBLE) AS store_trend FROM fact GROUP BY 1, 2)
+SELECT f.id, f.day_num, f.sales, sd.store_trend
+FROM fact f LEFT JOIN sd ON f.store_id = sd.store_id AND f.day_num = sd.day_num"""))
+def join_trend_q(p):
+    # trend_mode='actual': the history part of the trend lookup is the
+    # store's same-day total (deterministic, so oracle-checkable).
+    from ..operators.joins import join_trend
+    f = p.fact()
+    sd = store_day_agg(FC.history_with_snap(p)).select(
+        "store_id", "day_num", F.col("sales").cast("double").alias("store_trend"))
+    lo, hi = p.bounds
+    return join_trend(f, sd, trend_rows=None).select("id", "day_num", "sales", "store_trend")
