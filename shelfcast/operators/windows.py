@@ -39,9 +39,11 @@ def rolling(x: Column | str, win: int, agg: str, keys=SERIES, order="day_num") -
 # O-44 ----------------------------------------------------------------------
 def lag_features(df: DataFrame, lags: Sequence[int] = (28, 35, 42, 49), col: str = "sales",
                  keys=SERIES, order: str = "day_num", prefix: str = "lag_") -> DataFrame:
-    """Position lags: correct only on a dense panel (see ``densify_panel``)."""
+    """Position lags: correct only on a dense panel (see ``densify_panel``).
+    Lags are doubles (null before the series has k rows), like a pandas
+    ``shift``."""
     w = series_window(keys, order)
-    return df.withColumns({f"{prefix}{k}": F.lag(col, k).over(w) for k in lags})
+    return df.withColumns({f"{prefix}{k}": F.lag(F.col(col).cast("double"), k).over(w) for k in lags})
 
 
 def rolling_integer_stats(df: DataFrame, x: str, win: int, mean_name: str, std_name: str,

@@ -39,7 +39,7 @@ def future_rows(history: DataFrame, last_day: int, horizon: int = HORIZON,
     grid = future_grid(ids, last_day + 1, horizon)
     fut = join_last_known(grid, last, on="id")
     fut = const_columns(fut, {"event_name_1": "NoEvent", "event_type_1": "NoEvent", "sales": None},
-                        {"sales": "int"})
+                        {"sales": "double"})
     return fut.withColumn("d", day_label(F.col("day_num")))
 
 
@@ -47,6 +47,7 @@ def extend_history(history: DataFrame, last_day: int, horizon: int = HORIZON) ->
     """History plus future rows (O-71: union by name, missing columns null).
     History events are normalised to 'NoEvent' like the future ones."""
     hist = history.withColumns({
+        "sales": F.col("sales").cast("double"),   # unknown future sales are null
         "event_name_1": F.coalesce("event_name_1", F.lit("NoEvent")),
         "event_type_1": F.coalesce("event_type_1", F.lit("NoEvent")),
     })

@@ -42,9 +42,7 @@ prices AS (
   SELECT store_id, item_id, CAST(floor((day_num - 1) / 7) AS INTEGER) AS wm_yr_wk,
          MAX(l_extendedprice / l_quantity) AS sell_price
   FROM lines GROUP BY 1, 2, 3),
-bounds AS (
-  SELECT MIN({DAYNUM.format('l_shipdate')}) AS lo, MAX({DAYNUM.format('l_shipdate')}) AS hi
-  FROM lineitem),
+bounds AS (SELECT MIN(day_num) AS lo, MAX(day_num) AS hi FROM cells),
 days AS (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS day_num FROM bounds),
 calendar AS (
   SELECT day_num, dt AS date, CAST(floor((day_num - 1) / 7) AS INTEGER) AS wm_yr_wk,

@@ -122,7 +122,7 @@ lastv AS ({LAST_SQL}),
 fut AS (
   SELECT l.id, CAST(g AS INTEGER) AS day_num, l.item_id, l.dept_id, l.cat_id, l.store_id, l.state_id,
          l.sell_price, l.snap, 'NoEvent' AS event_name_1, 'NoEvent' AS event_type_1,
-         CAST(NULL AS INTEGER) AS sales, 'd_' || CAST(g AS VARCHAR) AS d
+         CAST(NULL AS DOUBLE) AS sales, 'd_' || CAST(g AS VARCHAR) AS d
   FROM lastv l, (SELECT unnest(generate_series(hi + 1, hi + 28)) AS g FROM bounds) t)
 """
 
@@ -146,21 +146,23 @@ def join_last_known_q(p):
 
 
 @register("union_by_name", q(FUTURE_SQL + f"""
-SELECT id, day_num, sales, COALESCE(event_name_1, 'NoEvent') AS event_name_1, sell_price,
-       {SNAP_CASE} AS snap, wm_yr_wk
+SELECT id, day_num, CAST(sales AS DOUBLE) AS sales, COALESCE(event_name_1, 'NoEvent') AS event_name_1,
+       sell_price, {SNAP_CASE} AS snap, CAST(wm_yr_wk AS DOUBLE) AS wm_yr_wk
 FROM fact
 UNION ALL
-SELECT id, day_num, sales, event_name_1, sell_price, snap, CAST(NULL AS INTEGER) AS wm_yr_wk FROM fut"""))
+SELECT id, day_num, sales, event_name_1, sell_price, snap, CAST(NULL AS DOUBLE) AS wm_yr_wk FROM fut"""))
 def union_by_name_q(p):
     lo, hi = p.bounds
     ext = FC.extend_history(FC.history_with_snap(p), hi)
-    return ext.select("id", "day_num", "sales", "event_name_1", "sell_price", "snap", "wm_yr_wk")
+    # wm_yr_wk is missing on future rows (null), so it comes out as a double,
+    # as a column missing from one side of a pandas concat does.
+    return ext.select("id", "day_num", "sales", "event_name_1", "sell_price", "snap",
+                      F.col("wm_yr_wk").cast("double").alias("wm_yr_wk"))
 
 
 PRED_SQL = FUTURE_SQL + """,
-ext AS (SELECT id, day_num, sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
-naive AS (SELECT id, day_num,
-                 CAST(LAG(sales, 28) OVER (PARTITION BY id ORDER BY day_num) AS DOUBLE) AS sales FROM ext)
+ext AS (SELECT id, day_num, CAST(sales AS DOUBLE) AS sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
+naive AS (SELECT id, day_num, LAG(sales, 28) OVER (PARTITION BY id ORDER BY day_num) AS sales FROM ext)
 """
 
 
@@ -185,7 +187,7 @@ def submission_q(p):
 
 
 @register("horizon_features", q(FUTURE_SQL + """,
-ext AS (SELECT id, day_num, sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
+ext AS (SELECT id, day_num, CAST(sales AS DOUBLE) AS sales FROM fact UNION ALL SELECT id, day_num, sales FROM fut),
 lg AS (SELECT id, day_num, sales, LAG(sales, 28) OVER w AS lag_28, LAG(sales, 35) OVER w AS lag_35
        FROM ext WINDOW w AS (PARTITION BY id ORDER BY day_num))
 SELECT id, day_num, sales, lag_28, lag_35,

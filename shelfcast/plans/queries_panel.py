@@ -119,8 +119,8 @@ def narrow_types_q(p):
 LAGS_SQL = """,
 lagged AS (
   SELECT item_id, store_id, day_num, sales, sell_price,
-    LAG(sales, 28) OVER w AS lag_28, LAG(sales, 35) OVER w AS lag_35,
-    LAG(sales, 42) OVER w AS lag_42, LAG(sales, 49) OVER w AS lag_49
+    CAST(LAG(sales, 28) OVER w AS DOUBLE) AS lag_28, CAST(LAG(sales, 35) OVER w AS DOUBLE) AS lag_35,
+    CAST(LAG(sales, 42) OVER w AS DOUBLE) AS lag_42, CAST(LAG(sales, 49) OVER w AS DOUBLE) AS lag_49
   FROM fact WINDOW w AS (PARTITION BY item_id, store_id ORDER BY day_num)),
 rolled AS (
   SELECT *,
