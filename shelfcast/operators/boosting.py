@@ -102,9 +102,18 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
     base = train.agg(F.avg(y)).first()[0]
     base_margin = math.log(max(base, 1e-9))
 
+    # Every round makes several passes over the training rows: spread them
+    # over at least the cluster's default parallelism (AQE may have
+    # coalesced a small input into a few partitions). Large inputs already
+    # have more partitions and are left as they are.
+    min_parts = spark.sparkContext.defaultParallelism
+
     def prep(df):
-        return assembler.transform(df.select(*features, label)).select(
+        out = assembler.transform(df.select(*features, label)).select(
             "features", y.alias("__y"), F.lit(base_margin).alias("__m"))
+        if out.rdd.getNumPartitions() < min_parts:
+            out = out.repartition(min_parts)
+        return out
 
     data = prep(train).persist(StorageLevel.MEMORY_AND_DISK)
     vdata = prep(valid).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None

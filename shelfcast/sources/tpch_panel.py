@@ -140,7 +140,12 @@ def day_cells(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Dat
     every later step (densify join, price join, series windows) reuses that
     partitioning instead of shuffling again."""
     cells = materialized_cells(spark, sf_dir) if materialize else _aggregate_cells(spark, sf_dir)
-    return cells.repartition("item_id", "store_id")
+    # An explicit count: AQE would size this exchange by the sparse cells
+    # and coalesce it to a few partitions, but densifying then multiplies
+    # the rows (every series gets every day), and all later windows and
+    # joins run on this partitioning.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(n, "item_id", "store_id")
 
 
 def sales_cells(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:

@@ -12,13 +12,20 @@ def _plan(df):
 
 
 def test_features_reuse_series_partitioning(spark):
-    df = all_queries()["features_all"](spark, SF_SMALL)
-    plan = _plan(df)
-    # The window, the densify join and the price join all sit on the
-    # partitioning created once on the series key: no exchange between the
-    # first Window and the join below it.
+    # Simulate large tables (no size-based broadcast): the densify join, the
+    # weekly-price join and all series windows must then sit on the one
+    # partitioning created on the series key; no other hash exchange.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(all_queries()["features_all"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Window" in plan
+    shuffles = [l for l in plan.split("\n") if "Exchange hashpartitioning" in l]
+    assert shuffles and all("REPARTITION_BY_NUM" in l for l in shuffles), shuffles
     top = plan.split("SortMergeJoin")[0]
-    assert "Window" in top and "Exchange" not in top
+    assert "Exchange" not in top
 
 
 def test_calendar_join_is_broadcast(spark):
