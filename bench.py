@@ -46,9 +46,16 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="shelfcast-bench")
     queries = all_queries()
     names = only or HEADLINE
+    from shelfcast.sources.tpch_panel import Panel
+    times: dict[str, float] = {}
+    # Timed and reported: the one-off derivation of the daily cells from the
+    # line items (scan + dimension joins + aggregate), written once per
+    # source snapshot to the checkpoint folder and read by every query.
+    t0 = time.perf_counter()
+    Panel(spark, sf_dir).bounds
+    times["panel_cells_materialize"] = round(time.perf_counter() - t0, 3)
     # Warm-up (JVM class loading, codegen caches): a small query, not timed.
     queries["zero_rate"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
         df = queries[name](spark, sf_dir)

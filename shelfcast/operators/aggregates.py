@@ -142,7 +142,10 @@ def price_kde(points: DataFrame, col: str = "sell_price", grid_size: int = 200)
     ``grid_size`` grid points with a generator (no join), and one aggregate
     per grid point sums the kernels (partial sums map side)."""
     x = F.col(col)
-    vals = points.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    # The collapsed values feed three jobs (moments, variance, density):
+    # materialise them once in the shared checkpoint folder.
+    vals = (points.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("m"))
+                  .checkpoint(eager=True))
     st = vals.agg(F.sum("m").alias("n"),
                   (F.sum(F.col("m") * F.col("v")) / F.sum("m")).alias("mean"),
                   F.min("v").alias("lo"), F.max("v").alias("hi")).first()

@@ -228,12 +228,9 @@ def ordinal_encode_q(p):
     f = p.fact()
     maps = E.fit_ordinal(f.where(F.col("day_num") <= hi - 28), ENC_COLS)
     enc = E.apply_ordinal(f, maps)
-    parts = [enc.select(F.lit(c).alias("column_name"), F.col(c).alias("value"),
-                        F.col(c + "_code").alias("code")).distinct() for c in ENC_COLS]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    # One pass over the encoded rows: stack (column, value, code) triples.
+    triples = ", ".join(f"'{c}', CAST(`{c}` AS STRING), `{c}_code`" for c in ENC_COLS)
+    return enc.select(F.expr(f"stack({len(ENC_COLS)}, {triples}) AS (column_name, value, code)")).distinct()
 
 
 TREND_SQL = f""",
