@@ -241,6 +241,12 @@ def fact(spark: SparkSession, sf_dir: str, bounds: tuple[int, int] | None = None
     return f.select(*cols)
 
 
+# Driver-side memo of the two small scalars a panel needs (day bounds, state
+# names), per Spark application and source snapshot: repeated queries on
+# the same inputs skip two jobs each.
+_SCALARS: dict[tuple, tuple] = {}
+
+
 class Panel:
     """Lazily computed panel pieces for one data folder (bounds and states
     are fetched once and shared by every frame built from them)."""
@@ -250,17 +256,29 @@ class Panel:
         self._bounds = None
         self._states = None
         self._cells = None
+        self._key = None
+
+    def _memo_key(self) -> tuple:
+        if self._key is None:
+            self._key = (self.spark.sparkContext.applicationId, source_signature(self.spark, self.sf_dir))
+        return self._key
 
     @property
     def bounds(self) -> tuple[int, int]:
         if self._bounds is None:
-            self._bounds = day_bounds(self.spark, self.sf_dir, self.day_cells())
+            k = ("bounds", *self._memo_key())
+            if k not in _SCALARS:
+                _SCALARS[k] = day_bounds(self.spark, self.sf_dir, self.day_cells())
+            self._bounds = _SCALARS[k]
         return self._bounds
 
     @property
     def states(self) -> list[tuple[str, int]]:
         if self._states is None:
-            self._states = state_names(self.spark, self.sf_dir)
+            k = ("states", *self._memo_key())
+            if k not in _SCALARS:
+                _SCALARS[k] = state_names(self.spark, self.sf_dir)
+            self._states = _SCALARS[k]
         return self._states
 
     def table(self, name: str) -> DataFrame:
