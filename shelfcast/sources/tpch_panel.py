@@ -130,7 +130,28 @@ def materialized_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def day_cells(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+# Target rows per partition of the dense panel (series x days).
+ROWS_PER_PARTITION = 2_000_000
+
+
+def panel_partitions(spark: SparkSession, n_series: int, n_days: int) -> int:
+    """Partition count for the series-keyed panel, from its dense size: at
+    least the cluster's default parallelism, more when the panel is large.
+    (Neither the sparse-cell shuffle size AQE would go by, nor a fixed
+    shuffle width, says how big the densified panel becomes.)"""
+    need = -(-n_series * n_days // ROWS_PER_PARTITION)
+    return max(spark.sparkContext.defaultParallelism, need)
+
+
+def cell_stats(cells: DataFrame) -> tuple[int, int, int]:
+    """(first day, last day, number of series): one small aggregate."""
+    r = cells.agg(F.min("day_num"), F.max("day_num"),
+                  F.countDistinct("item_id", "store_id")).first()
+    return int(r[0]), int(r[1]), int(r[2])
+
+
+def day_cells(spark: SparkSession, sf_dir: str, materialize: bool = True,
+              n_parts: int | None = None) -> DataFrame:
     """Sparse panel: one row per (item, store, day) with any line, carrying
     the day's units and its highest unit price.
 
@@ -144,8 +165,10 @@ def day_cells(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Dat
     # and coalesce it to a few partitions, but densifying then multiplies
     # the rows (every series gets every day), and all later windows and
     # joins run on this partitioning.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartition(n, "item_id", "store_id")
+    if n_parts is None:
+        lo, hi, n_series = cell_stats(cells)
+        n_parts = panel_partitions(spark, n_series, hi - lo + 1)
+    return cells.repartition(n_parts, "item_id", "store_id")
 
 
 def sales_cells(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
@@ -266,10 +289,8 @@ class Panel:
     @property
     def bounds(self) -> tuple[int, int]:
         if self._bounds is None:
-            k = ("bounds", *self._memo_key())
-            if k not in _SCALARS:
-                _SCALARS[k] = day_bounds(self.spark, self.sf_dir, self.day_cells())
-            self._bounds = _SCALARS[k]
+            lo, hi, _ = self._stats()
+            self._bounds = (lo, hi)
         return self._bounds
 
     @property
@@ -284,11 +305,19 @@ class Panel:
     def table(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
+    def _stats(self) -> tuple[int, int, int]:
+        k = ("stats", *self._memo_key())
+        if k not in _SCALARS:
+            _SCALARS[k] = cell_stats(materialized_cells(self.spark, self.sf_dir))
+        return _SCALARS[k]
+
     def day_cells(self) -> DataFrame:
         # One DataFrame object shared by every consumer, so identical
         # subtrees are planned once and their exchanges are reused.
         if self._cells is None:
-            self._cells = day_cells(self.spark, self.sf_dir)
+            lo, hi, n_series = self._stats()
+            self._cells = day_cells(self.spark, self.sf_dir,
+                                    n_parts=panel_partitions(self.spark, n_series, hi - lo + 1))
         return self._cells
 
     def cells(self) -> DataFrame:
