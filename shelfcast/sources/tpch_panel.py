@@ -94,6 +94,9 @@ def _aggregate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CELL_SOURCES = ["lineitem", "part", "supplier", "nation", "region"]
+# Bump when the layout of the materialised cells changes, so a folder
+# written by older code is never read.
+CELLS_FORMAT = 1
 
 
 def source_signature(spark: SparkSession, sf_dir: str, tables=CELL_SOURCES) -> str:
@@ -121,7 +124,7 @@ def materialized_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     source file changes (the folder name carries the source signature)."""
     from ..session import checkpoint_dir
     base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/panel-cells-{source_signature(spark, sf_dir)}"
+    path = f"{base}/panel-cells-v{CELLS_FORMAT}-{source_signature(spark, sf_dir)}"
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")

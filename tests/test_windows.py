@@ -67,3 +67,11 @@ def test_price_features_mid_series_start(spark):
     assert out[-1].price_momentum == 1.0
     # first full 7-row window of non-null prices ends on day 10
     assert [r.day_num for r in out if r.price_roll_std_7 is not None][0] == 10
+
+
+def test_dropna_drops_whole_34_day_series(spark):
+    from shelfcast.operators.reshape import dropna_subset
+    s34 = W.rolling_lagged(_series(spark, [1] * 34), 7, 28, names=("rolling_mean_28_7", "s"))
+    assert dropna_subset(s34, ["rolling_mean_28_7"]).count() == 0
+    s35 = W.rolling_lagged(_series(spark, [1] * 35), 7, 28, names=("rolling_mean_28_7", "s"))
+    assert dropna_subset(s35, ["rolling_mean_28_7"]).count() == 1
