@@ -18,8 +18,10 @@ without sampling a ``DecisionTreeRegressor`` is used. Leaf-wise growth with
 N leaves is approximated by depth-wise trees of depth ~log2(N).
 
 Lineage: the margin column is updated every round, so the training frame is
-persisted and reliably checkpointed (``spark.checkpoint.dir``) every few
-rounds; a lost executor recomputes from the last checkpoint only.
+persisted and, every few rounds, written as a table in the shared checkpoint
+folder and read back; a lost executor recomputes from the last written
+table only. Intermediate tables are deleted once the trees are fitted (the
+model does not depend on them).
 
 The fitted model is a plain ``PipelineModel`` (assembler, one tree per round,
 and a SQL step summing the margins), so ``save``/``load`` are MLlib's own.
@@ -38,7 +40,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, drop_path, stage_table
 
 
 @dataclass
@@ -117,6 +119,13 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
 
     data = prep(train).persist(StorageLevel.MEMORY_AND_DISK)
     vdata = prep(valid).persist(StorageLevel.MEMORY_AND_DISK) if valid is not None else None
+    staged: list[str] = []
+
+    def cut(df, name):
+        out, path = stage_table(df, name)
+        staged.append(path)
+        return out.persist(StorageLevel.MEMORY_AND_DISK)
+
     trees, history = [], []
     best, best_round, since_best = float("inf"), None, 0
     lr = params.learning_rate
@@ -130,7 +139,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
         nxt = (tree.transform(data).withColumn("__m", F.col("__m") + lr * F.col(f"__p{r}"))
                    .drop(f"__p{r}"))
         if (r + 1) % params.checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = cut(nxt, "boost-train")
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         data.unpersist()
@@ -139,7 +148,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
         if vdata is not None:
             vn = (tree.transform(vdata).withColumn("__m", F.col("__m") + lr * F.col(f"__p{r}"))
                       .drop(f"__p{r}"))
-            vn = vn.checkpoint(eager=True) if (r + 1) % params.checkpoint_every == 0 \
+            vn = cut(vn, "boost-valid") if (r + 1) % params.checkpoint_every == 0 \
                 else vn.persist(StorageLevel.MEMORY_AND_DISK)
             vdata.unpersist()
             vdata = vn
@@ -154,6 +163,8 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
     data.unpersist()
     if vdata is not None:
         vdata.unpersist()
+    for path in staged:
+        drop_path(spark, path)
     n_keep = best_round if (params.early_stopping_rounds and best_round) else len(trees)
     model = assemble_model(assembler, trees[:n_keep], base_margin, lr)
     return BoostResult(model, base_margin, history, best_round)

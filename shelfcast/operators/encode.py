@@ -1,10 +1,12 @@
 """Ordinal encoding of categorical columns (O-53).
 
 Categories are learned on the training rows only: the distinct values of a
-column, sorted ascending with null first (null is a category of its own),
-numbered from 0. Values never seen in training get -1. The category table
-has one row per distinct value, so it is broadcast after a size check and the
-encode is a map-side join.
+column (compared as strings), sorted ascending with null first (null is a
+category of its own), numbered from 0. Values never seen in training get -1.
+The category table has one row per distinct value (a dimension: tens to
+thousands of values), so it is broadcast after a size check and the encode is
+a map-side join. Numbering runs in a window partitioned by column over the
+distinct values only, never over the fact rows.
 """
 
 from __future__ import annotations
@@ -19,15 +21,6 @@ from .joins import bounded_broadcast
 UNSEEN = -1
 
 
-def fit_categories(train: DataFrame, column: str) -> DataFrame:
-    """(value, code) for one column. The numbering window has no partition
-    key on purpose: it runs over the distinct values only (a handful to a few
-    hundred thousand rows), never over the fact rows."""
-    vals = train.select(F.col(column).alias("value")).distinct()
-    w = Window.orderBy(F.col("value").asc_nulls_first())
-    return vals.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
-
-
 def fit_ordinal(train: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
     """Category tables of several columns from ONE pass over the training
     rows: (column, value) pairs are stacked, de-duplicated and numbered per

@@ -81,3 +81,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back. Returns (frame, path); the caller may
+    ``drop_path`` it once nothing reads it any more."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder through the Hadoop file system API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
