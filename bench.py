@@ -33,6 +33,7 @@ HEADLINE = [
     "trend_arx",
     "ordinal_encode",
     "dq_duplicate_keys",
+    "train_tweedie",       # global model backtest: features, encoding, 8 boosting rounds
 ]
 
 

@@ -201,12 +201,15 @@ def dropna_subset_q(p):
 
 
 @register("const_columns", q("""
-SELECT id, day_num, 'NoEvent' AS event_name_1, 'NoEvent' AS event_type_1, CAST(NULL AS DOUBLE) AS sales
-FROM fact WHERE day_num = (SELECT hi FROM bounds)"""))
+SELECT id, CAST(g AS INTEGER) AS day_num, 'NoEvent' AS event_name_1, 'NoEvent' AS event_type_1,
+       CAST(NULL AS DOUBLE) AS sales
+FROM (SELECT DISTINCT id FROM fact) i, (SELECT unnest(generate_series(hi + 1, hi + 28)) AS g FROM bounds) t"""))
 def const_columns_q(p):
+    # Constants of the future rows (O-26): no event, unknown sales, on the
+    # whole 28-day grid of every series.
     lo, hi = p.bounds
-    f = p.fact().where(F.col("day_num") == hi).select("id", "day_num")
-    return R.const_columns(f, {"event_name_1": "NoEvent", "event_type_1": "NoEvent", "sales": None},
+    grid = J.future_grid(p.fact().select("id").distinct(), hi + 1, 28)
+    return R.const_columns(grid, {"event_name_1": "NoEvent", "event_type_1": "NoEvent", "sales": None},
                            {"sales": "double"})
 
 
