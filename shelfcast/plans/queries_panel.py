@@ -243,10 +243,9 @@ def join_calendar_q(p):
 
 
 @register("join_prices", q("""
-SELECT c.item_id, c.store_id, c.day_num, c.sales, w.wm_yr_wk, pr.sell_price
+SELECT c.item_id, c.store_id, c.day_num, c.sales, c.wm_yr_wk, pr.sell_price
 FROM (SELECT *, CAST(floor((day_num - 1) / 7) AS INTEGER) AS wm_yr_wk FROM cells) c
-LEFT JOIN prices pr ON pr.store_id = c.store_id AND pr.item_id = c.item_id AND pr.wm_yr_wk = c.wm_yr_wk,
-LATERAL (SELECT c.wm_yr_wk) w(wm_yr_wk)"""))
+LEFT JOIN prices pr ON pr.store_id = c.store_id AND pr.item_id = c.item_id AND pr.wm_yr_wk = c.wm_yr_wk"""))
 def join_prices_q(p):
     c = p.cells().select("item_id", "store_id", "day_num", "sales").withColumn(
         "wm_yr_wk", F.floor((F.col("day_num") - 1) / 7).cast("int"))
