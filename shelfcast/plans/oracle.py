@@ -22,6 +22,9 @@ def _snap_cols() -> str:
 
 
 SNAP_COLS = ", ".join("snap_" + n.replace(" ", "_") for n, _ in STATES)
+# The SNAP flag of the row's own state (O-27), as an INTEGER.
+SNAP_OWN = "CAST(CASE " + " ".join(
+    f"WHEN state_id = '{n}' THEN snap_{n.replace(' ', '_')}" for n, _ in STATES) + " END AS INTEGER)"
 DAYNUM = "CAST(date_diff('day', DATE '1995-01-02', CAST({} AS DATE)) + 1 AS INTEGER)"
 
 PANEL = f"""

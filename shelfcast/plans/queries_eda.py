@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import hash_bucket
+from ..functions import (day_label, day_to_date, date_parts, event_flag, hash_bucket, horizon_label,
+                         log_scale, pct, safe_ratio, state_prefix, unlog_scale)
 from ..operators import aggregates as A
 from ..operators.reshape import snap_for_state
 from ..operators.windows import sale_gaps
 from .catalog import register
-from .oracle import STATES, q
+from .oracle import SNAP_OWN, q
 
-SNAP_CASE = "CASE " + " ".join(
-    f"WHEN state_id = '{n}' THEN snap_{n.replace(' ', '_')}" for n, _ in STATES) + " END"
+SNAP_CASE = SNAP_OWN
 
 
 def _with_snap(p):
@@ -182,9 +182,6 @@ def series_sample(p):
 
 
 # ------------------------------------------------------- scalar functions
-from ..functions import (day_label, day_to_date, date_parts, event_flag, horizon_label,  # noqa: E402
-                         log_scale, pct, safe_ratio, state_prefix, unlog_scale)
-from ..operators.aggregates import store_day_agg  # noqa: E402
 
 
 @register("day_to_date", q("""

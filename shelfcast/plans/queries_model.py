@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import boosting as B
+from ..operators import encode as E
 from ..operators import evaluate as EV
-from ..operators.aggregates import last_known_attrs
+from ..operators import trend as TR
+from ..operators.aggregates import last_known_attrs, store_day_agg
+from ..session import scratch_path
 from . import forecast as FC
+from . import train as TRN
 from .catalog import register
-from .oracle import STATES, q
+from .oracle import SNAP_OWN, q
 
-SNAP_CASE = "CAST(CASE " + " ".join(
-    f"WHEN state_id = '{n}' THEN snap_{n.replace(' ', '_')}" for n, _ in STATES) + " END AS INTEGER)"
+SNAP_CASE = SNAP_OWN
 
 NAIVE_SQL = """,
 pred AS (
@@ -202,12 +206,6 @@ def horizon_features_q(p):
 
 
 # ------------------------------------------------------------------ models
-from ..operators import boosting as B  # noqa: E402
-from ..operators import encode as E  # noqa: E402
-from ..operators import trend as TR  # noqa: E402
-from ..operators.aggregates import store_day_agg  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from . import train as TRN  # noqa: E402
 
 # Boosting settings of the registered demo queries: fewer, larger steps than
 # the library defaults (90 rounds at 0.1), so the driver's check stays short.

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import day_number, horizon_label
+from ..operators import joins as J
+from ..operators import reshape as R
+from ..operators import windows as W
 from .catalog import register
-from .etl import etl_flagship
-from .oracle import SNAP_COLS, q
+from .etl import ID_COLS, etl_flagship, wide_sales
+from .oracle import SNAP_COLS, SNAP_OWN, q
 
 FACT_SELECT = ("store_id, item_id, wm_yr_wk, d, id, dept_id, cat_id, state_id, sales, wday, month, "
                f"year, event_name_1, event_type_1, {SNAP_COLS}, sell_price, day_num")
@@ -18,12 +22,6 @@ def etl_flagship_q(p):
 
 
 # ---------------------------------------------------------------- reshapes
-from ..functions import day_number, horizon_label  # noqa: E402
-from ..operators import reshape as R  # noqa: E402
-from ..operators import windows as W  # noqa: E402
-from ..operators import joins as J  # noqa: E402
-from ..operators.aggregates import last_known_attrs  # noqa: E402
-from .etl import ID_COLS, wide_sales  # noqa: E402
 
 DENSE_IDS = ("SELECT item_id || '_' || store_id AS id, item_id, "
              "'DEPT_' || CAST(CAST(regexp_extract(item_id, '(\\d+)$', 1) AS INTEGER) % 6 AS VARCHAR) AS dept_id, "
@@ -215,7 +213,7 @@ def const_columns_q(p):
 
 @register("snap_for_state", q(f"""
 SELECT id, day_num, state_id,
-  CAST(CASE {' '.join(f"WHEN state_id = '{n}' THEN snap_{n.replace(' ', '_')}" for n, _ in __import__('shelfcast.plans.oracle', fromlist=['STATES']).STATES)} END AS INTEGER) AS snap
+  {SNAP_OWN} AS snap
 FROM fact"""))
 def snap_for_state_q(p):
     f = R.snap_for_state(p.fact(), [s for s, _ in p.states])
