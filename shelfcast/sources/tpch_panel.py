@@ -122,14 +122,26 @@ def materialized_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint folder and read back by every later query (the reference's
     pattern: ETL writes the table, analyses read it). Re-derived whenever a
     source file changes (the folder name carries the source signature)."""
+    import uuid
+
     from ..session import checkpoint_dir
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/panel-cells-v{CELLS_FORMAT}-{source_signature(spark, sf_dir)}"
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not done.getFileSystem(conf).exists(done):
-        _aggregate_cells(spark, sf_dir).write.mode("overwrite").parquet(path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    final = Path(path)
+    fs = final.getFileSystem(conf)
+    if not fs.exists(Path(path + "/_SUCCESS")):
+        if fs.exists(final):
+            fs.delete(final, True)              # leftover of an interrupted write
+        # Write to a private folder, then rename into place in one step, so
+        # readers never see a half-written table.
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        _aggregate_cells(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        # (rename onto an existing folder would nest it: check right before)
+        if fs.exists(final) or not fs.rename(Path(tmp), final):
+            fs.delete(Path(tmp), True)          # another writer got there first
     return spark.read.parquet(path)
 
 
