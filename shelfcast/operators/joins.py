@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       known_rows: int | None = None) -> DataFrame:
     """Broadcast hint only when the side is proven small.
 
     ``known_rows`` lets callers pass a bound they already know (for example
     the number of calendar days); otherwise a ``limit(max_rows + 1).count()``
     job checks it, which stops reading as soon as the limit is crossed.
+    The limit defaults to ``spark.shelfcast.broadcastRowLimit`` (2,000,000).
     """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get("spark.shelfcast.broadcastRowLimit",
+                                                str(BROADCAST_ROW_LIMIT)))
     n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

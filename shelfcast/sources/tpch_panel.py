@@ -154,7 +154,8 @@ def panel_partitions(spark: SparkSession, n_series: int, n_days: int) -> int:
     least the cluster's default parallelism, more when the panel is large.
     (Neither the sparse-cell shuffle size AQE would go by, nor a fixed
     shuffle width, says how big the densified panel becomes.)"""
-    need = -(-n_series * n_days // ROWS_PER_PARTITION)
+    per = int(spark.conf.get("spark.shelfcast.panelRowsPerPartition", str(ROWS_PER_PARTITION)))
+    need = -(-n_series * n_days // per)
     return max(spark.sparkContext.defaultParallelism, need)
 
 
