@@ -25,7 +25,7 @@ from ..operators.joins import join_trend
 from ..operators.reshape import fill_features
 from ..operators.windows import series_features
 from ..session import checkpoint_dir
-from ..sources.tpch_panel import Panel, snap_column
+from ..sources.tpch_panel import ORIGIN, Panel, snap_column
 from . import forecast as FC
 
 HORIZON = 28
@@ -80,7 +80,7 @@ def hybrid_frame(panel: Panel, trend_mode: str = "fitted", last_day: int | None
     ext = FC.extend_history(hist, last)
     ext = join_trend(ext, trend, trend_rows=None)
     ext = FC.horizon_features(ext)
-    dt = F.date_add(F.lit("1995-01-02").cast("date"), F.col("day_num") - 1)
+    dt = F.date_add(F.lit(ORIGIN).cast("date"), F.col("day_num") - 1)
     ext = ext.withColumns({"wday": F.weekday(dt), "month": F.month(dt), "day": F.dayofmonth(dt)})
     ext = fill_features(ext, ["store_trend", "lag_28", "lag_35", "rolling_std_28_7", "sell_price"])
     return ext.checkpoint(eager=True), last
