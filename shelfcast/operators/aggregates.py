@@ -202,3 +202,29 @@ def price_sales_corr(fact: DataFrame, price: str = "sell_price", sales: str = "s
     return (fact.where(F.col(price).isNotNull()).groupBy(*by)
                 .agg(F.corr(price, F.col(sales).cast("double")).alias("price_sales_corr"),
                      F.count(F.lit(1)).alias("n_rows")))
+
+
+def mixed_gap_summary(fact: DataFrame, key: str = "item_id", day: str = "day_num",
+                      sales: str = "sales") -> DataFrame:
+    """Gap summary per ``key`` with all of its series interleaved (O-49 with
+    a coarser key): every sale day of every store is one event, so k sales on
+    the same day add k-1 gaps of 0 days.
+
+    Exact and bounded by the number of days per key: sales are first counted
+    per (key, day) (partial aggregation), gaps are taken between distinct
+    days only, and the same-day zeros are added arithmetically; no window
+    ever holds more than one row per day."""
+    from pyspark.sql import Window
+    per_day = (fact.where(F.col(sales) > 0).groupBy(key, day)
+                   .agg(F.count(F.lit(1)).alias("__k")))
+    w = Window.partitionBy(key).orderBy(day)
+    g = per_day.withColumn("__gap", (F.col(day) - F.lag(day, 1).over(w)).cast("int"))
+    s = g.groupBy(key).agg(F.count("__gap").alias("__ng"), F.sum("__gap").alias("__sg"),
+                           F.max("__gap").alias("__mg"), F.sum(F.col("__k") - 1).alias("__z"))
+    n = F.col("__ng") + F.col("__z")
+    return (s.where(n > 0).select(
+        key,
+        (F.coalesce(F.col("__sg"), F.lit(0)).cast("double") / n).alias("avg_gap"),
+        F.when(F.col("__ng") > 0, F.col("__mg")).otherwise(F.lit(0)).cast("int").alias("max_gap"),
+        n.cast("bigint").alias("n_gaps"),
+        F.col("__z").cast("bigint").alias("same_day_gaps")))

@@ -292,3 +292,18 @@ def event_gaps_q(p):
            .withColumn("active", F.lit(1))
     gaps = sale_gaps(ev, keys=("user_id",), order="day_num", sales="active")
     return A.gap_summary(gaps, by=["user_id"])
+
+
+@register("gap_summary_item_mixed", q(""",
+g AS (
+  SELECT item_id,
+         CAST(day_num - LAG(day_num) OVER (PARTITION BY item_id ORDER BY day_num) AS INTEGER) AS gap
+  FROM fact WHERE sales > 0)
+SELECT item_id, AVG(gap) AS avg_gap, MAX(gap) AS max_gap, CAST(COUNT(*) AS BIGINT) AS n_gaps,
+       CAST(SUM(CASE WHEN gap = 0 THEN 1 ELSE 0 END) AS BIGINT) AS same_day_gaps
+FROM g WHERE gap IS NOT NULL GROUP BY item_id"""), rnd=("avg_gap",))
+def gap_summary_item_mixed_q(p):
+    # The series key is selectable (O-49): keyed by item only, the sale days
+    # of all its stores are interleaved, so same-day sales in two stores give
+    # a 0-day gap. Computed with at most one row per (item, day) in any window.
+    return A.mixed_gap_summary(p.fact(), "item_id")

@@ -46,3 +46,15 @@ def test_store_day_agg_event_flag(spark):
         "store_id string, day_num int, sales int, snap int, event_name_1 string")
     got = {r.day_num: r for r in A.store_day_agg(df).collect()}
     assert got[1].sales == 5 and got[1].is_event == 0 and got[2].is_event == 1
+
+
+def test_mixed_gap_summary(spark):
+    rows = [("A", "S1", 1, 2), ("A", "S1", 3, 1), ("A", "S2", 3, 5), ("A", "S2", 7, 1), ("A", "S2", 2, 0),
+            ("B", "S1", 5, 1), ("B", "S2", 5, 1), ("C", "S1", 9, 4)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, day_num int, sales int")
+    got = {r.item_id: r for r in A.mixed_gap_summary(df).collect()}
+    # A: sale events on days 1, 3, 3, 7 -> gaps 2, 0, 4
+    assert (got["A"].avg_gap, got["A"].max_gap, got["A"].n_gaps, got["A"].same_day_gaps) == (2.0, 4, 3, 1)
+    # B: two stores on the same day -> one gap of 0
+    assert (got["B"].avg_gap, got["B"].max_gap, got["B"].n_gaps) == (0.0, 0, 1)
+    assert "C" not in got                      # a single sale has no gap
