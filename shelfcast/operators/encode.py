@@ -21,6 +21,12 @@ from .joins import bounded_broadcast
 UNSEEN = -1
 
 
+class CategoryMaps(dict):
+    """column -> (value, code) table; ``n_values`` (all columns together)
+    bounds the size of every table, so one count serves every broadcast."""
+    n_values: int | None = None
+
+
 def fit_ordinal(train: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
     """Category tables of several columns from ONE pass over the training
     rows: (column, value) pairs are stacked, de-duplicated and numbered per
@@ -32,13 +38,18 @@ def fit_ordinal(train: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame
     table = (stacked.distinct()
                     .withColumn("code", (F.row_number().over(w) - 1).cast("int"))
                     .checkpoint(eager=True))
-    return {c: table.where(F.col("column_name") == c).select("value", "code") for c in columns}
+    maps = CategoryMaps({c: table.where(F.col("column_name") == c).select("value", "code")
+                         for c in columns})
+    maps.n_values = table.count()
+    return maps
 
 
 def apply_ordinal(df: DataFrame, maps: dict[str, DataFrame], suffix: str = "_code") -> DataFrame:
     out = df
+    known = getattr(maps, "n_values", None)
     for c, m in maps.items():
-        m = bounded_broadcast(m.select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(c + suffix)))
+        m = bounded_broadcast(m.select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(c + suffix)),
+                              known_rows=known)
         out = (out.join(m, F.col(c).cast("string").eqNullSafe(F.col(f"__v_{c}")), "left")
                   .drop(f"__v_{c}")
                   .withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(UNSEEN))))
