@@ -121,7 +121,9 @@ def trend_lookup(store_day: DataFrame, last_day: int, mode: str = "fitted", hori
 
     ``mode='actual'`` reproduces the reference (history = same-day actual
     totals); ``'fitted'`` uses one-step fitted values instead."""
-    fc = fit_forecast(store_day, last_day, horizon, store, day)
+    # Used twice below (coefficients and forecast rows): materialise the
+    # small result (horizon rows per store) so the per-store solve runs once.
+    fc = fit_forecast(store_day, last_day, horizon, store, day).checkpoint(eager=True)
     if mode == "actual":
         hist = store_day.select(store, day, F.col("sales").cast("double").alias("store_trend"))
     else:
