@@ -12,7 +12,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 FAST = ["row_count", "global_trend", "seasonality_weekday", "snap_effect", "zero_rate",
         "store_day_agg", "gap_summary", "histogram_sales", "price_kde", "features_all",
         "rmsse", "wrmsse", "submission", "pivot_horizon", "ordinal_encode", "trend_gram",
-        "dq_duplicate_lines", "largest_table", "etl_flagship"]
+        "dq_duplicate_lines", "largest_table", "etl_flagship", "gap_summary_item_mixed", "const_columns"]
 
 
 def _norm(v):
