@@ -12,7 +12,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import phrase_dedup, suffix_dedup
+from . import compression_quality, fingerprints, phrase_dedup, pieces, suffix_dedup
+
+
+def tokenizer_file(spark: SparkSession, name: str) -> str:
+    """Place of a public tokenizer's file: the folder in
+    ``spark.shelfcast.tokenizers``, else the installed package's."""
+    folder = spark.conf.get("spark.shelfcast.tokenizers", None)
+    if folder:
+        return f"{folder.rstrip('/')}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def tokenizer_bytes(spark: SparkSession, name: str) -> bytes:
+    with open(tokenizer_file(spark, name), "rb") as f:
+        return f.read()
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(C.documents(spark, sf_dir))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_bytes(spark, "piece_bpe_32k.model")
+    out = pieces.round_trip(C.documents(spark, sf_dir), model, texts=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,13 +46,20 @@ def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.documents(spark, sf_dir)
+    model = compression_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    out = compression_quality.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", compression_quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_substrings(C.documents(spark, sf_dir), texts=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_phrase_dedup, op9_suffix_dedup)
+    f.__name__: f for f in (op1_fingerprints, op4_pieces, op5_phrase_dedup, op6_compression_quality, op9_suffix_dedup)
 }
 
 ORACLES: dict[str, str] = {}

@@ -59,3 +59,30 @@ def op9(rows, width=50):
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         out.append((d, len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g))))
     return out
+
+
+def op1(rows):
+    from shelfcast.llm import fingerprints as P
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (_key(r[0]), r[1]))
+    out = []
+    for i, (d, t) in enumerate(rows):
+        # The next document is the first row of the next place in the order.
+        nxt = rows[(i + 1) % len(rows)][1]
+        m = len(t) // 4
+        edited = t[:len(t) - m] + nxt[:m]
+        f, g, h = (P.fingerprint(x) for x in (t, edited, nxt))
+        a, b, c = (P.Fingerprint.parse(x) for x in (f, g, h))
+        out.append((d, len(t), sha(edited), f, g, a.likeness(b), a.likeness(c)))
+    return out
+
+
+def op4(rows):
+    import numpy as np
+    import public_tokenizers
+    import sentencepiece
+    m = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    out = []
+    for d, t in rows:
+        ids = m.encode(t or "", add_bos=True, add_eos=True)
+        out.append((d, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(m.decode(ids))))
+    return out
