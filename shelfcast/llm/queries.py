@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import compression_quality, fingerprints, phrase_dedup, pieces, suffix_dedup
+from . import compression_quality, fingerprints, line_dedup, phrase_dedup, pieces, quality_rules, suffix_dedup
 
 
 def tokenizer_file(spark: SparkSession, name: str) -> str:
@@ -35,6 +36,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(C.documents(spark, sf_dir))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(C.documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_bytes(spark, "piece_bpe_32k.model")
     out = pieces.round_trip(C.documents(spark, sf_dir), model, texts=False)
@@ -53,13 +59,18 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", compression_quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(C.documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_substrings(C.documents(spark, sf_dir), texts=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op4_pieces, op5_phrase_dedup, op6_compression_quality, op9_suffix_dedup)
+    f.__name__: f for f in (op1_fingerprints, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op8_line_dedup, op9_suffix_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}

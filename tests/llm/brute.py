@@ -86,3 +86,42 @@ def op4(rows):
         ids = m.encode(t or "", add_bos=True, add_eos=True)
         out.append((d, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(m.decode(ids))))
     return out
+
+
+def op3_base(rows):
+    out = []
+    for d, t in rows:
+        w = words_of(t)
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        seen = {}
+        for i in range(len(w) - 4):
+            seen.setdefault(tuple(w[i:i + 5]), []).append(i)
+        gone = set()
+        for places in seen.values():
+            if len(places) > 1:
+                for i in places:
+                    gone.update(range(i, i + 5))
+        sym = sum(c in "#*$%&|<>" for c in t or "")
+        out.append((d, len(w), sum(map(len, w)), sym, len(lines) - len(set(lines)), len(gone), len(w) < 10 or 100 * len(gone) > 20 * len(w)))
+    return out
+
+
+def line_key(line):
+    s = line.strip(" \t\n\x0b\x0c\r")
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def op8(rows):
+    docs, last = {}, {}
+    for d, t in rows:
+        for x in (t or "").split("\n"):
+            k = line_key(x)
+            if len(k) >= 20:
+                docs.setdefault(k, set()).add(_key(d))
+                last[k] = max(last.get(k, _key(d)), _key(d))
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(docs.get(line_key(x), ())) < 3 or last[line_key(x)] == _key(d)]
+        out.append((d, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return out
