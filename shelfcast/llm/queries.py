@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import compression_quality, fingerprints, line_dedup, phrase_dedup, pieces, quality_rules, suffix_dedup
+from . import compression_quality, fingerprints, line_dedup, minhash, packing, phrase_dedup, pieces, quality_rules, suffix_dedup
 
 
 def tokenizer_file(spark: SparkSession, name: str) -> str:
@@ -36,6 +36,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(C.documents(spark, sf_dir))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = packing.tokenizer_text(tokenizer_bytes(spark, "byte_bpe_50k.json"))
+    out = packing.pack(packing.pieces(C.documents(spark, sf_dir), tokenizer, with_ids=False))
+    return out.drop("ids")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(C.documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -69,8 +75,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(C.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op8_line_dedup, op9_suffix_dedup)
+    f.__name__: f for f in (op1_fingerprints, op2_packing, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op8_line_dedup, op9_suffix_dedup, op10_minhash)
 }
 
 ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}

@@ -125,3 +125,59 @@ def op8(rows):
         kept = [x for x in lines if len(docs.get(line_key(x), ())) < 3 or last[line_key(x)] == _key(d)]
         out.append((d, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
     return out
+
+
+def op10(rows, width=5, threshold=75):
+    sets = []
+    for d, t in rows:
+        w = words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):
+        common = {}
+        for x in s:
+            for j in holders[x]:
+                if j > i:
+                    common[j] = common.get(j, 0) + 1
+        for j, c in common.items():
+            if 100 * c >= threshold * (len(s) + len(sets[j]) - c):
+                root[find(j)] = find(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), _key(d)), _key(d))
+    out = []
+    for i, (d, _) in enumerate(rows):
+        c = least[find(i)]
+        out.append((d, len(sets[i]), None if c == -1 << 63 else c, _key(d) == c))
+    return out
+
+
+def op2_pieces(rows, size=1024, end_id=2):
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    out = []
+    for d, text in rows:
+        ids = t.encode(text or "", add_special_tokens=False).ids + [end_id]
+        at = 0
+        for p in range(-(-len(ids) // size)):
+            n = size if p or len(ids) % size == 0 else min(len(ids), len(ids) % size)
+            out.append((d, p, at, n, zlib.crc32(np.array(ids[at:at + n], "<u4").tobytes())))
+            at += n
+        assert at == len(ids)
+    return out
