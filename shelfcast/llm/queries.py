@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import compression_quality, fingerprints, line_dedup, minhash, packing, phrase_dedup, pieces, quality_rules, suffix_dedup
+from . import (attention_lm, compression_quality, fingerprints, line_dedup, minhash, packing, phrase_dedup, pieces,
+               quality_rules, suffix_dedup)
 
 
 def tokenizer_file(spark: SparkSession, name: str) -> str:
@@ -65,6 +66,11 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", compression_quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = packing.tokenizer_text(tokenizer_bytes(spark, "byte_bpe_50k.json"))
+    return attention_lm.score(C.documents(spark, sf_dir), tokenizer)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_repeated_lines(C.documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -79,8 +85,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(C.documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_packing, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op8_line_dedup, op9_suffix_dedup, op10_minhash)
+    f.__name__: f for f in (op1_fingerprints, op2_packing, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op7_attention_lm, op8_line_dedup, op9_suffix_dedup, op10_minhash, pipeline)
 }
 
 ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
