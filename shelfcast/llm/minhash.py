@@ -12,9 +12,9 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
    to ``SMALL`` shingles fill too few bins to be sure of a common band; they
    and all sets they can be similar to add the prefix of their hashes in order
    as keys, which no similar pair can miss.
-2. *Stars.* A bucket's pairs are its members with its two hubs (smallest and
-   largest), not all pairs: as many as members. Pairs that share several
-   buckets are checked once.
+2. *Stars.* A bucket's pairs are its members with its hub (the smallest), not
+   all pairs: as many as members. Pairs that share several buckets are checked
+   once.
 3. *Confirmation.* Pairs are confirmed on full sets of 64-bit shingle hashes.
 4. *More stars.* Buckets that still hold several components get new hubs in
    another order, until a round finds no new link or ``STARS`` rounds are over.
@@ -151,7 +151,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok, last, raw = [], None, None
+            ok = []
             for x, y in zip(batch.column("of_a"), batch.column("of_b")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 merged = np.concatenate([x, y])
@@ -164,11 +164,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
 
 
 def star_pairs(members: DataFrame, order) -> DataFrame:
-    """Pairs (a < b) of each member of a bucket with the bucket's two hubs.
+    """Pairs (a < b) of each member of a bucket with the bucket's hub.
     members: key, vertex, component; ``order``: the column that ranks hubs."""
     ranked = members.withColumn("rank", order)
-    hubs = ranked.groupBy("key").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low <> high")
-    hubs = hubs.select("key", F.explode(F.array("low", "high")).alias("rank"))
+    hubs = ranked.groupBy("key").agg(F.min("rank").alias("rank"), F.max("rank").alias("high")).where("rank <> high").select("key", "rank")
     named = ranked.join(hubs, ["key", "rank"]).select("key", F.col("vertex").alias("hub"), F.col("component").alias("hub_component"))
     pairs = ranked.join(named, "key").where((F.col("vertex") != F.col("hub")) & (F.col("component") != F.col("hub_component")))
     return pairs.select(F.least("vertex", "hub").alias("a"), F.greatest("vertex", "hub").alias("b")).distinct()
@@ -176,18 +175,29 @@ def star_pairs(members: DataFrame, order) -> DataFrame:
 
 def components(links: DataFrame, name: str = "component") -> DataFrame:
     """(vertex, component: smallest vertex reachable) of all linked vertices,
-    staged. Each round spreads the smallest label along links and then takes
-    the label's own label, so long chains shorten by doubling."""
-    both = stage_table(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways")[0]
-    labels = stage_table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("vertex"), F.least("a", "m").alias("label")), "labels")[0]
-    while True:
-        near = both.join(labels.select(F.col("vertex").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        spread = labels.join(near.withColumnRenamed("a", "vertex"), "vertex").select("vertex", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("vertex").alias("next"), F.col("label").alias("further"))
-        new = spread.join(jump, "next", "left").select("vertex", F.least("next", F.coalesce("further", "next")).alias("label"), (F.col("label") > F.least("next", F.coalesce("further", "next"))).alias("moved"))
-        labels = stage_table(new, "labels")[0]
-        if labels.where("moved").isEmpty():
-            return labels.select("vertex", F.col("label").alias(name))
+    staged. Each round every vertex moves to its smallest neighbour's smallest
+    neighbour and the links are contracted to the places moved to, until none
+    is left; links within a place disappear at once, so rounds shrink fast."""
+    spark = links.sparkSession
+    edges = links.select("a", "b")
+    labels = None
+    while not edges.isEmpty():
+        ends = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = stage_table(ends.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("place"), F.least("a", "m").alias("to")), "least")[0]
+        further = least.select(F.col("place").alias("to"), F.col("to").alias("moved"))
+        moves = stage_table(least.join(further, "to").select("place", "moved"), "moves")[0]
+        if labels is None:
+            labels = moves.select(F.col("place").alias("vertex"), F.col("moved").alias("label"))
+        else:
+            of = moves.select(F.col("place").alias("label"), "moved")
+            labels = stage_table(labels.join(of, "label", "left").select("vertex", F.coalesce("moved", "label").alias("label")), "labels")[0]
+        first = moves.select(F.col("place").alias("a"), F.col("moved").alias("x"))
+        second = moves.select(F.col("place").alias("b"), F.col("moved").alias("y"))
+        left = edges.join(first, "a").join(second, "b").where("x <> y")
+        edges = stage_table(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "contracted")[0]
+    if labels is None:
+        return spark.createDataFrame([], f"vertex long, {name} long")
+    return labels.select("vertex", F.col("label").alias(name))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
