@@ -29,7 +29,7 @@ BLOCK_BYTES = 4 << 20
 #: Python words are separated by these bytes (space, \t \n \v \f \r).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
-BLOCK_SCHEMA = "block long, ids binary, lens binary, data binary"
+BLOCK_SCHEMA = "block long, ids binary, lens binary, data binary, more binary"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -75,6 +75,7 @@ class Block:
     ids: np.ndarray      # int64, NULL_ID for null
     offsets: np.ndarray  # int64, one more than ids
     data: np.ndarray     # uint8
+    more: pa.Table | None = None  # further columns, row by row
 
     def texts(self) -> list[bytes]:
         raw = self.data.tobytes()
@@ -90,9 +91,10 @@ class Block:
             first = last
 
 
-def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text) as blocks, written to the shared folder and
-    reread, so that block numbers stay fixed for every later pass. No shuffle."""
+def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, more: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` (doc_id, text and the columns ``more``) as blocks, written to
+    the shared folder and reread, so that block numbers stay fixed for every
+    later pass. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -102,6 +104,7 @@ def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> D
         ids: list[np.ndarray] = []
         lens: list[np.ndarray] = []
         data: list[np.ndarray] = []
+        rest: list[pa.Table] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
@@ -111,9 +114,10 @@ def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> D
                 pa.array([np.concatenate(ids).tobytes()], pa.binary()),
                 pa.array([np.concatenate(lens).tobytes()], pa.binary()),
                 pa.array([zstandard.ZstdCompressor(level=3).compress(np.concatenate(data).tobytes())], pa.binary()),
-            ], names=["block", "ids", "lens", "data"])
+                pa.array([ipc_bytes(pa.concat_tables(rest)) if more else None], pa.binary()),
+            ], names=["block", "ids", "lens", "data", "more"])
             count, held = count + 1, 0
-            ids.clear(), lens.clear(), data.clear()
+            ids.clear(), lens.clear(), data.clear(), rest.clear()
             return row
 
         for batch in batches:
@@ -128,6 +132,8 @@ def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> D
                     ids.append(own[first:last])
                     lens.append(np.diff(off[first:last + 1]))
                     data.append(raw[off[first]:off[last]])
+                    if more:
+                        rest.append(pa.table({c: batch.column(c) for c in more}).slice(first, last - first))
                     held += int(off[last] - off[first])
                     first = last
                 if first < len(own):
@@ -137,20 +143,41 @@ def pack_blocks(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> D
         if ids:
             yield flush()
 
-    packed = docs.select("doc_id", "text").mapInArrow(run, BLOCK_SCHEMA)
+    packed = docs.select("doc_id", "text", *more).mapInArrow(run, BLOCK_SCHEMA)
     return stage_table(packed, name)[0]
 
 
+def ipc_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def lean() -> None:
+    """Hand freed arrays back to the system at once, so that idle Python
+    workers don't hold the largest block they have seen (glibc only)."""
+    import ctypes
+
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, no longer adjusted upwards
+    except AttributeError:
+        pass
+
+
 def unpack(batch: pa.RecordBatch) -> Iterator[tuple[int, Block]]:
     """(row number, block) of each row of a batch of blocks."""
     import zstandard
 
-    cols = [batch.column(c) for c in ("block", "ids", "lens", "data")]
+    lean()
+    cols = [batch.column(c) for c in ("block", "ids", "lens", "data", "more")]
     for i in range(batch.num_rows):
-        block, ids, lens, data = (c[i].as_py() for c in cols)
+        block, ids, lens, data, more = (c[i].as_py() for c in cols)
         lens = np.frombuffer(lens, np.int64)
         raw = zstandard.ZstdDecompressor().decompress(data)
-        yield i, Block(block, np.frombuffer(ids, np.int64), np.concatenate([[0], np.cumsum(lens)]), np.frombuffer(raw, np.uint8))
+        yield i, Block(block, np.frombuffer(ids, np.int64), np.concatenate([[0], np.cumsum(lens)]), np.frombuffer(raw, np.uint8),
+                       pa.ipc.open_stream(more).read_all() if more else None)
 
 
 # ---------------------------------------------------------------- hashing
@@ -209,11 +236,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word's bytes."""
-    p = prefix_hash(data)
-    h = (p[ends] - p[starts]) * powers(len(data) + 1)[1][starts]
-    return mix(h + (ends - starts).astype(np.uint64) * _SLOT[63])
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: int = 1 << 20) -> np.ndarray:
+    """64-bit hash of each word's bytes, computed over about ``run`` bytes at a time."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, base + run, "right")))
+        p = prefix_hash(data[base:int(ends[j - 1])])
+        a, b = starts[i:j] - base, ends[i:j] - base
+        out[i:j] = mix((p[b] - p[a]) * powers(len(p))[1][a] + (b - a).astype(np.uint64) * _SLOT[63])
+        i = j
+    return out
 
 
 def gram_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
@@ -289,6 +323,7 @@ def exchange(blocks: DataFrame, ask: Callable, answer: Callable, buckets: int, n
                     ], names=["bucket", "block", "data"])
 
     def reduce(table: pa.Table) -> pa.Table:
+        lean()
         pieces = [unpack_arrays(x.as_py()) for x in table.column("data")]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(answer(pieces), pa.binary())})
 

@@ -177,12 +177,14 @@ def occurrences(hashes: np.ndarray, first: np.ndarray, ids: np.ndarray, found: l
     return np.cumsum(mask[:-1]) > 0
 
 
-def dedup_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, joined: bool = True, texts: bool = True) -> DataFrame:
+def dedup_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, joined: bool = True, texts: bool = True,
+                   more: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_text (``joined``:
     kept words joined by one space; else the text with the removed words and
     the white space before them cut out) and the sha256 of kept_text, which
-    is null itself if ``texts`` is false."""
-    blocks = C.pack_blocks(docs, "phrase-blocks")
+    is null itself if ``texts`` is false; then the columns ``more`` of docs."""
+    blocks = C.pack_blocks(docs, "phrase-blocks", more=more)
+    kinds = dict(docs.dtypes)
     buckets = C.bucket_count(blocks, 8)
     anchors = C.exchange(blocks, _anchor_keys(window, phrase), seen_elsewhere, buckets, "anchors")
     known = blocks.join(anchors, "block", "left")
@@ -206,7 +208,7 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
                 gone = occurrences(hashes, first, block.ids, passages(at, least[inverse], doc, window))
                 yield _result(block, starts, ends, first, gone, joined, texts)
 
-    return known.join(smaller, "block", "left").mapInArrow(run, RESULT)
+    return known.join(smaller, "block", "left").mapInArrow(run, RESULT + "".join(f", `{c}` {kinds[c]}" for c in more))
 
 
 def _result(block: C.Block, starts, ends, first, gone, joined, texts) -> pa.RecordBatch:
@@ -230,7 +232,9 @@ def _result(block: C.Block, starts, ends, first, gone, joined, texts) -> pa.Reco
             kept.append(b"".join(parts))
         else:
             kept.append(raw[block.offsets[d]:block.offsets[d + 1]])
+    rest = block.more.combine_chunks() if block.more else pa.table({})
     return pa.RecordBatch.from_arrays([
         C.id_array(block.ids), pa.array(np.diff(first).astype(np.int64)), pa.array(removed, pa.int64()),
         pa.array(kept if texts else [None] * len(kept), pa.binary()).cast(pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-    ], names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
+        *(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rest.columns),
+    ], names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", *rest.column_names])

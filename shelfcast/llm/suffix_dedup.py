@@ -47,38 +47,33 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<l
 
 
 class _Segments:
-    """The segments of one run of documents of a block."""
+    """The segments of one run of documents of a block: place and hash of the
+    anchor, columns of the first and last window, document, and a hash of all."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int, k: int):
         n, w = len(data), width - k + 1
-        self.data, self.p = data, C.prefix_hash(data)
-        grams = C.mix((self.p[k:] - self.p[:-k]) * C.powers(n + 1)[1][:n - k + 1]) if n >= k else np.zeros(0, np.uint64)
+        self.data, self.w, self.width = data, w, width
+        p, inverse = C.prefix_hash(data), C.powers(n + 1)[1]
+        grams = C.mix((p[k:] - p[:-k]) * inverse[:n - k + 1]) if n >= k else np.zeros(0, np.uint64)
         bits = np.uint64(max(24, n.bit_length()))
-        place = np.arange(len(grams), dtype=np.uint64)
-        low = C.sliding_min((grams >> bits << bits) | place, w)
+        low = C.sliding_min((grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64), w)
         at = np.flatnonzero(C.same_doc_windows(offsets, n, width)) if n >= width else np.zeros(0, np.int64)
         pos = (low[at] & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
         new = np.ones(len(at), bool)
         new[1:] = (pos[1:] != pos[:-1]) | (at[1:] != at[:-1] + 1)
         head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(at)) - 1
-        self.starts, self.segment = at, np.cumsum(new) - 1  # window starts and their segments
-        self.pos = pos[head] if len(at) else pos
-        self.lo = (at[head] - self.pos + w - 1) if len(at) else pos  # columns of the first and last window
-        self.hi = (at[tail] - self.pos + w - 1) if len(at) else pos
+        tail = np.append(head[1:], len(at))[:len(head)] - 1
+        self.pos = pos[head]
+        self.lo, self.hi = at[head] - self.pos + w - 1, at[tail] - self.pos + w - 1
         self.anchor = grams[self.pos]
         self.doc = np.searchsorted(offsets, self.pos, "right") - 1
-        self.w = w
+        whole = (p[at[tail] + width] - p[at[head]]) * inverse[at[head]]
+        self.identity = C.mix(whole ^ C.mix(self.anchor + (self.lo * 256 + self.hi).astype(np.uint64)))
 
-    def identity(self, width: int) -> np.ndarray:
-        a, b = self.pos - self.w + 1 + self.lo, self.pos - self.w + 1 + self.hi + width
-        whole = (self.p[b] - self.p[a]) * C.powers(len(self.data) + 1)[1][a]
-        return C.mix(whole ^ C.mix(self.anchor + (self.lo * 256 + self.hi).astype(np.uint64)))
-
-    def rows(self, pick: np.ndarray, width: int) -> np.ndarray:
-        columns = np.arange(self.w - 1 + width)
+    def rows(self, pick: np.ndarray) -> np.ndarray:
+        columns = np.arange(self.w - 1 + self.width)
         at = self.pos[pick, None] - self.w + 1 + columns
-        there = (columns >= self.lo[pick, None]) & (columns < self.hi[pick, None] + width)
+        there = (columns >= self.lo[pick, None]) & (columns < self.hi[pick, None] + self.width)
         return np.where(there, self.data[np.clip(at, 0, len(self.data) - 1)], 0).astype(np.uint8)
 
 
@@ -110,7 +105,7 @@ def _collection(block: C.Block, row, width: int, k: int, buckets: int):
         pick = np.flatnonzero(recurs[at:at + len(s.pos)])
         at += len(s.pos)
         picks.append(pick)
-        found.append((s.anchor[pick], s.identity(width)[pick], block.ids[s.doc[pick] + a]))
+        found.append((s.anchor[pick], s.identity[pick], block.ids[s.doc[pick] + a]))
     anchor, same, ids = (np.concatenate([f[j] for f in found]) for j in range(3))
     order = np.lexsort((same, anchor))
     new = np.ones(len(order), bool)
@@ -127,7 +122,7 @@ def _collection(block: C.Block, row, width: int, k: int, buckets: int):
     for j, (_, _, s) in enumerate(parts):
         mine = np.flatnonzero(which == j)
         pick = picks[j][one[mine] - base[j]]
-        lo[mine], hi[mine], rows[mine] = s.lo[pick], s.hi[pick], s.rows(pick, width)
+        lo[mine], hi[mine], rows[mine] = s.lo[pick], s.hi[pick], s.rows(pick)
     groups = [group[base[j]:base[j + 1]] for j in range(len(parts))]
     return parts, picks, groups, anchor[one], lo, hi, least, rows
 
@@ -180,7 +175,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR,
     ``width - anchor`` is at most 31 (one reply bit for each column)."""
     if not 0 < width - anchor <= 31:
         raise ValueError("width - anchor must be 1 to 31")
-    blocks = C.pack_blocks(docs, "suffix-blocks")
+    blocks = C.pack_blocks(docs, "suffix-blocks", C.BLOCK_BYTES // 2)
     buckets = C.bucket_count(blocks, 8)
 
     def ask(block, _row):
@@ -194,7 +189,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR,
         _, _, _, keys, lo, hi, least, rows = _collection(block, row, width, anchor, buckets)
         return [keys, lo, hi, least, rows]
 
-    shares = C.bucket_count(blocks, 2)
+    shares = C.bucket_count(blocks, 4)
     masks = C.exchange(known, ask_segments, _answer(width), shares, "masks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,16 +208,14 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR,
 
 def _covered(s: _Segments, pick, group, mask, least, ids, width: int) -> np.ndarray:
     """Mask of the bytes to remove of one run of documents."""
-    bits = np.zeros(len(s.pos), np.uint32)
     # A later document with a segment of the block's first holder repeats all of it.
-    bits[pick] = np.where(ids[s.doc[pick]] > least[group], np.uint32(0xFFFFFFFF), mask[group])
-    if not len(s.starts):
-        return np.zeros(len(s.data), bool)
-    column = (s.starts - s.pos[s.segment] + s.w - 1).astype(np.uint32)
-    gone = s.starts[(bits[s.segment] >> column & np.uint32(1)) > 0]
+    bits = np.where(ids[s.doc[pick]] > least[group], np.uint32(0xFFFFFFFF), mask[group])
     step = np.zeros(len(s.data) + 1, np.int32)
-    step[gone] += 1
-    step[gone + width] -= 1
+    for column in range(s.w):
+        gone = pick[(bits >> np.uint32(column) & np.uint32(1) > 0) & (s.lo[pick] <= column) & (column <= s.hi[pick])]
+        start = s.pos[gone] - s.w + 1 + column  # distinct: a window has one anchor
+        step[start] += 1
+        step[start + width] -= 1
     return np.cumsum(step[:-1]) > 0
 
 
