@@ -6,7 +6,6 @@ printing, so they can be asserted on, stored, or joined to other reports.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +16,11 @@ MIN_FILE_BYTES = int(0.1 * 1024 ** 3)
 
 
 # O-64 -----------------------------------------------------------------------
-def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 5) -> DataFrame:
-    """Keys that occur more than once (with their counts). ``limit`` keeps
-    the first few, ordered by key, as the reference's report does."""
-    out = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
-             .where(F.col("cnt") > 1).orderBy(*keys))
-    return out.limit(limit) if limit else out
+def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
+    """All keys that occur more than once (with their counts); ``limit``
+    reports the first few in key order instead."""
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
+    return out.orderBy(*keys).limit(limit) if limit else out
 
 
 # O-65 -----------------------------------------------------------------------
@@ -58,12 +56,6 @@ def _path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def local_file_bytes(path: str) -> int:
-    if os.path.isdir(path):
-        return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs)
-    return os.path.getsize(path)
-
-
 # O-66 -----------------------------------------------------------------------
 def row_conservation(long: DataFrame, series_keys: Sequence[str], day: str = "d",
                      written: DataFrame | None = None) -> DataFrame:

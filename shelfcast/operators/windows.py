@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SERIES = ("item_id", "store_id")
 
@@ -80,11 +81,12 @@ def rolling_lagged(df: DataFrame, win: int = 28, shift: int = 28, col: str = "sa
                    integer_valued: bool | None = None) -> DataFrame:
     """Rolling mean and sample std over ``win`` rows of ``lag(col, shift)``.
 
-    ``integer_valued`` (unit sales) uses exact running sums, O(rows);
-    otherwise a moving frame, O(rows x win). By default running sums are
-    used for wide windows only, where they pay off."""
+    Columns of an integer type (unit sales) use exact running sums, O(rows);
+    others a moving frame, O(rows x win), as a cast to integers would lose
+    their fractions. ``integer_valued`` says so of a column of another type
+    that is known to hold whole numbers only."""
     if integer_valued is None:
-        integer_valued = win >= 14
+        integer_valued = isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     lagged = F.lag(col, shift).over(series_window(keys, order))
     tmp = f"__lag_{shift}"
     mean_name, std_name = names or (f"roll_mean_{win}", f"roll_std_{win}")

@@ -64,14 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system the
-    cluster names). Only when it is unset (tests, laptops) do we pick a
-    scratch folder ourselves.
+    cluster names) or the folder the launcher gave to ``setCheckpointDir``.
+    Only a local master without either (tests, laptops) gets a scratch folder;
+    elsewhere a machine's own folder would be wrong, so that is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

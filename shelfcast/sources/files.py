@@ -113,16 +113,22 @@ def table_append(df: DataFrame, table_path: str) -> None:
 
 
 def file_row_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per Parquet file and the running total in file-name order.
+    """Rows per Parquet file (by path: folders may hold files of one name),
+    its folder, and the running total in path order.
 
-    Counting groups by the hidden ``_metadata.file_name`` column, so it is a
-    distributed aggregate; only the per-file counts (one row per file) go
-    through the ordered running-sum window."""
+    Running totals are summed within each folder and added to the total of
+    the folders before, so one task sees a folder's files or one row per
+    folder, never one row per file of the whole table."""
     counts = (spark.read.parquet(path)
-                   .groupBy(F.col("_metadata.file_name").alias("file_name"))
-                   .agg(F.count(F.lit(1)).alias("rows")))
-    w = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("running_total", F.sum("rows").over(w))
+                   .groupBy(F.col("_metadata.file_path").alias("file_path"))
+                   .agg(F.count(F.lit(1)).alias("rows"))
+                   .withColumn("folder", F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)))
+    within = Window.partitionBy("folder").orderBy("file_path").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("folder").rowsBetween(Window.unboundedPreceding, -1)
+    folders = (counts.groupBy("folder").agg(F.sum("rows").alias("in_folder"))
+                     .select("folder", F.coalesce(F.sum("in_folder").over(before), F.lit(0)).alias("base")))
+    return (counts.withColumn("own", F.sum("rows").over(within)).join(folders, "folder")
+                  .select("file_path", "folder", "rows", (F.col("own") + F.col("base")).alias("running_total")))
 
 
 # O-11 -----------------------------------------------------------------------
@@ -149,13 +155,3 @@ def write_submission_csv(df: DataFrame, path: str, single_file: bool = False) ->
     (fine for a submission of one row per series and 28 values)."""
     out = df.coalesce(1) if single_file else df
     write_csv(out, path)
-
-
-# O-14 -----------------------------------------------------------------------
-def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_pipeline_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)

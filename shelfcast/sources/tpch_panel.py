@@ -38,7 +38,8 @@ EVENTS = [                               # (month, day, event_name_1, event_type
 ]
 SNAP_DAYS = 10                           # benefit days per month, shifted 2 days per region key
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,11 +110,12 @@ def source_signature(spark: SparkSession, sf_dir: str, tables=CELL_SOURCES) -> s
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = path.getFileSystem(conf)
-        size, mtime = 0, 0
-        for st in fs.listStatus(path):
-            size += st.getLen()
-            mtime = max(mtime, st.getModificationTime())
-        parts.append(f"{t}:{size}:{mtime}")
+        found = fs.listFiles(path, True)  # all levels of a partitioned table
+        files = []
+        while found.hasNext():
+            st = found.next()
+            files.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+        parts.append(f"{t}:{';'.join(sorted(files))}")
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 

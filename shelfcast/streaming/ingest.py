@@ -22,9 +22,11 @@ from ..operators.reshape import melt
 
 
 def wide_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("header", True)
-                 .option("maxFilesPerTrigger", files_per_batch).csv(landing_dir))
+                files_per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("header", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(landing_dir)
 
 
 def long_fact_stream(wide: DataFrame, id_cols: Sequence[str], calendar: DataFrame,

@@ -40,3 +40,12 @@ def test_largest_table(spark):
     t = {"a": spark.range(3), "b": spark.range(7), "empty": spark.range(0)}
     r = IO.largest_table(t).collect()
     assert [(x.table_name, x.rows) for x in r] == [("b", 7)]
+
+
+def test_file_row_counts_by_path(spark, tmp_path):
+    import shutil
+    a = str(tmp_path / "t")
+    spark.range(10).coalesce(1).write.parquet(a + "/k=1")
+    shutil.copytree(a + "/k=1", a + "/k=2")   # files of the same name
+    rows = IO.file_row_counts(spark, a).orderBy("file_path").collect()
+    assert [(r["rows"], r["running_total"]) for r in rows] == [(10, 10), (10, 20)]

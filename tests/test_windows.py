@@ -75,3 +75,15 @@ def test_dropna_drops_whole_34_day_series(spark):
     assert dropna_subset(s34, ["rolling_mean_28_7"]).count() == 0
     s35 = W.rolling_lagged(_series(spark, [1] * 35), 7, 28, names=("rolling_mean_28_7", "s"))
     assert dropna_subset(s35, ["rolling_mean_28_7"]).count() == 1
+
+
+def test_rolling_of_fractions_at_any_window(spark):
+    from pyspark.sql import functions as F
+
+    from shelfcast.operators.windows import rolling_lagged
+    df = spark.range(60).select(F.lit("s").alias("id"), F.lit("a").alias("item_id"), F.lit("b").alias("store_id"),
+                                (F.col("id") + 1).cast("int").alias("day_num"), F.lit(0.6).alias("price"))
+    for win in (7, 28):
+        out = rolling_lagged(df, win, 1, "price", keys=("id",)).where(f"roll_mean_{win} is not null")
+        low, high, n = out.agg(F.min(f"roll_mean_{win}"), F.max(f"roll_mean_{win}"), F.count("*")).first()
+        assert n == 60 - win and abs(low - 0.6) < 1e-9 and abs(high - 0.6) < 1e-9
