@@ -68,18 +68,14 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.table) > self.table_size:
             self.table.clear()
-        table = self.table
         units = [_UNITS(t) for t in texts]
-        out = [list(map(table.get, us)) for us in units]
-        open_ = [i for i, ids in enumerate(out) if None in ids]
-        new = list({u for i in open_ for u, ids in zip(units[i], out[i]) if ids is None})
+        new = list(set().union(*units) - self.table.keys()) if units else []
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
             for unit, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                table[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for i in open_:
-            out[i] = [table[u] for u in units[i]]
-        return [b"".join(ids) for ids in out]
+                self.table[unit] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        table = self.table
+        return [b"".join([table[u] for u in us]) for us in units]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
