@@ -10,14 +10,18 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
    bins tried in an order drawn for that bin until one isn't empty (optimal
    densification). ``BANDS`` bands of ``ROWS`` bins are bucket keys. Sets of up
    to ``SMALL`` shingles fill too few bins to be sure of a common band; they
-   and all sets they can be similar to add the prefix of their hashes in order
-   as keys, which no similar pair can miss.
+   and all sets they can be similar to add a prefix of their hashes as keys,
+   rarest first, which no similar pair can miss.
 2. *Stars.* A bucket's pairs are its members with its hub (the smallest), not
    all pairs: as many as members. Pairs that share several buckets are checked
-   once.
+   once; pairs whose set sizes rule a link out, or that are in one component
+   already, are not formed.
 3. *Confirmation.* Pairs are confirmed on full sets of 64-bit shingle hashes.
-4. *More stars.* Buckets that still hold several components get new hubs in
-   another order, until a round finds no new link or ``STARS`` rounds are over.
+4. *More stars.* A hub leaves its bucket once all members were held against
+   it. Buckets that still hold several components get new hubs in another
+   order, until none is left, so no link inside a bucket is lost. The first
+   ``STARS`` rounds take one hub a bucket; then their number grows fourfold
+   each round, which bounds rounds by the logarithm of a bucket's size.
 5. *Components.* Smallest ids spread along confirmed links, with shortcuts.
 
 Nulls and ties: a null or blank text has the empty set, is linked with nothing
@@ -41,9 +45,10 @@ from . import common as C
 
 SHINGLE, THRESHOLD = 5, 75
 BINS, BANDS, ROWS = 126, 42, 3
-SMALL, STARS = 64, 3
+SMALL, STARS = 64, 2
+PREFIXED = SMALL * 100 // THRESHOLD + 1  # largest set that adds a prefix
 
-SETS = "doc long, n_shingles long, s1 long, s2 long, keys array<long>"
+SETS = "doc long, n_shingles long, s1 long, s2 long, keys array<long>, small array<long>"
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -89,39 +94,48 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
-def bucket_keys(hashes: np.ndarray) -> np.ndarray:
-    """Bands of the signature; for small sets, the prefix of their hashes."""
-    n = len(hashes)
-    keys = []
-    if n > SMALL:
-        rows = signature(hashes).reshape(BANDS, ROWS)
-        band = np.arange(1, BANDS + 1, dtype=np.uint64)
-        for j in range(ROWS):
-            band = C.mix(band + rows[:, j] * np.uint64(2 * j + 3))
-        keys.append(band)
-    if 0 < n <= SMALL * 100 // THRESHOLD + 1:
-        keys.append(hashes[:n - (THRESHOLD * n + 99) // 100 + 1])
-    return np.concatenate(keys) if keys else hashes[:0]
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """Bands of the signature; none for small sets."""
+    if len(hashes) <= SMALL:
+        return hashes[:0]
+    rows = signature(hashes).reshape(BANDS, ROWS)
+    band = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for j in range(ROWS):
+        band = C.mix(band + rows[:, j] * np.uint64(2 * j + 3))
+    return np.unique(band)
+
+
+def prefixes(owners: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """(key, vertex, n) of the prefixes of small sets: n - ceil(threshold * n)
+    + 1 hashes, those found in the fewest sets first. Two similar sets share
+    one of them in any order common to all sets."""
+    each = owners.select("vertex", "n", "s1", "s2", F.explode("small").alias("key"))
+    rarity = each.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
+    size = (F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1).cast("int")
+    first = F.slice(F.array_sort(F.collect_list(F.struct("sets", "key"))), 1, size)
+    ordered = each.join(rarity, "key").groupBy("vertex", "n", "s1", "s2").agg(first.alias("first"))  # at most PREFIXED a group
+    return ordered.select(F.explode("first.key").alias("key"), "vertex", "n")
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Each document's set size, 128-bit set hash and bucket keys, staged."""
+    """Each document's set size, 128-bit set hash, bands and small set, staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             C.lean()
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, keys, small = [], [], [], [], []
             texts = C.text_column(batch)
             for i in range(0, len(texts), 200):
                 for h in shingle_sets(texts.slice(i, 200)):
                     n.append(len(h))
                     s1.append(np.add.reduce(C.mix(h + np.uint64(11))))
                     s2.append(np.add.reduce(C.mix(h ^ np.uint64(0x5DEECE66D))))
-                    keys.append(np.unique(bucket_keys(h)).view(np.int64))
+                    keys.append(bands(h).view(np.int64))
+                    small.append((h if len(h) <= PREFIXED else h[:0]).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 pa.array(C.id_column(batch)), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)),
-                pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())),
-            ], names=["doc", "n_shingles", "s1", "s2", "keys"])
+                pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int64())),
+            ], names=["doc", "n_shingles", "s1", "s2", "keys", "small"])
 
     return stage_table(docs.select("doc_id", "text").mapInArrow(run, SETS), "signatures")[0]
 
@@ -163,16 +177,32 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
     return stage_table(both.mapInArrow(run, "a long, b long").distinct(), "links")[0]
 
 
-def star_pairs(members: DataFrame, order) -> DataFrame:
-    """Pairs (a < b) of each member of a bucket with the bucket's hub.
-    members: key, vertex, component; ``order``: the column that ranks hubs."""
-    ranked = members.withColumn("rank", order)
-    hubs = ranked.groupBy("key").agg(F.min("rank").alias("rank"), F.max("rank").alias("high")).where("rank <> high").select("key", "rank")
-    named = ranked.join(hubs, ["key", "rank"]).select("key", F.col("vertex").alias("hub"), F.col("component").alias("hub_component"))
-    pairs = ranked.join(named, "key").where((F.col("vertex") != F.col("hub")) & (F.col("component") != F.col("hub_component")))
+def hubs_of(members: DataFrame, star: int) -> DataFrame:
+    """(key, hub, hub_component, hub_n): the hubs of each bucket in one round,
+    one in each of ``shares`` shares of its members. members: key, vertex, n,
+    component."""
+    shares = 4 ** max(0, star - STARS + 1)
+    rank = F.xxhash64("vertex", F.lit(star)) if star else F.col("vertex")
+    share = F.pmod(F.xxhash64("vertex", F.lit(-1 - star)), F.lit(shares))
+    first = F.min(F.struct(rank.alias("rank"), "vertex", "component", "n"))
+    hubs = members.groupBy("key", share.alias("share")).agg(first.alias("h"))
+    return hubs.select("key", F.col("h.vertex").alias("hub"), F.col("h.component").alias("hub_component"), F.col("h.n").alias("hub_n"))
+
+
+def star_pairs(members: DataFrame, hubs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a < b) of each member of a bucket with the bucket's hubs, where
+    components differ and the sizes of the sets allow a link."""
+    fits = 100 * F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n")
+    pairs = members.join(hubs, "key").where((F.col("component") != F.col("hub_component")) & fits)
     return pairs.select(F.least("vertex", "hub").alias("a"), F.greatest("vertex", "hub").alias("b")).distinct()
 
 
+def several_components(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component."""
+    keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
 def components(links: DataFrame, name: str = "component") -> DataFrame:
     """(vertex, component: smallest vertex reachable) of all linked vertices,
     staged. Each round every vertex moves to its smallest neighbour's smallest
@@ -209,29 +239,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = filled.groupBy("s1", "s2", "n_shingles").agg(F.min("doc").alias("vertex"))
     classes = stage_table(classes, "classes")[0]
     owners = filled.join(classes, ["s1", "s2", "n_shingles"]).where("doc = vertex").dropDuplicates(["s1", "s2", "n_shingles"])
-    buckets = stage_table(owners.select(F.explode("keys").alias("key"), "vertex").distinct(), "buckets")[0]
-    shared = buckets.groupBy("key").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high")).where("low <> high").select("key")
-    members = stage_table(buckets.join(shared, "key"), "members")[0]  # most keys have one member
-    sets = full_sets(docs, members.select("vertex").distinct())
+    owners = stage_table(owners.select("vertex", F.col("n_shingles").alias("n"), "s1", "s2", "keys", "small"), "owners")[0]
+    buckets = owners.select(F.explode("keys").alias("key"), "vertex", "n").unionAll(prefixes(owners))
+    buckets = stage_table(buckets.distinct(), "buckets")[0]
+    rest = several_components(buckets.withColumn("component", F.col("vertex")))
+    rest = stage_table(rest, "members")[0]  # most keys have one member
+    sets = full_sets(docs, rest.select("vertex").distinct())
     links = spark.createDataFrame([], "a long, b long")
-    tested = links
-    named = members.withColumn("component", F.col("vertex"))
-    for star in range(STARS):
-        order = F.struct(F.xxhash64("vertex", F.lit(star)), "vertex") if star else F.struct(F.col("vertex").alias("h"), "vertex")
-        pairs = star_pairs(named, order)
-        pairs = stage_table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")[0]
+    tested, labels, star = links, None, 0
+    while not rest.isEmpty():
+        hubs = hubs_of(rest, star)
+        pairs = star_pairs(rest, hubs)
+        if star:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage_table(pairs, "pairs")[0]
         found = confirm(pairs, sets)
-        if found.isEmpty():
-            break
         tested = tested.unionAll(pairs)
-        links = stage_table(links.unionAll(found), "all-links")[0]
-        labels = components(links)
-        named = members.join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
-        several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        named = named.join(several, "key", "left_semi")
-    else:
-        labels = components(links)
-    if links.isEmpty():
+        # A hub has met all members of its bucket that it can be linked with.
+        rest = rest.join(hubs.select("key", F.col("hub").alias("vertex"), F.col("hub_n").alias("n")), ["key", "vertex", "n"], "left_anti")
+        if not found.isEmpty():
+            links = stage_table(links.unionAll(found), "all-links")[0]
+            labels = components(links)
+            rest = rest.drop("component").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+        rest = stage_table(several_components(rest.select("key", "vertex", "n", "component")), "rest")[0]
+        star += 1
+    if labels is None:
         labels = spark.createDataFrame([], "vertex long, component long")
     of_class = classes.join(labels, "vertex", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "vertex").alias("class_component"))
     joined = signed.select("doc", "n_shingles", "s1", "s2").join(of_class, ["s1", "s2", "n_shingles"], "left")
