@@ -20,7 +20,7 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
 4. *More stars.* A hub leaves its bucket once all members were held against
    it. Buckets that still hold several components get new hubs in another
    order, until none is left, so no link inside a bucket is lost. The first
-   ``STARS`` rounds take one hub a bucket; then their number grows fourfold
+   ``STARS`` rounds take one hub a bucket; then their number grows sixteenfold
    each round, which bounds rounds by the logarithm of a bucket's size.
 5. *Components.* Smallest ids spread along confirmed links, with shortcuts.
 
@@ -181,7 +181,7 @@ def hubs_of(members: DataFrame, star: int) -> DataFrame:
     """(key, hub, hub_component, hub_n): the hubs of each bucket in one round,
     one in each of ``shares`` shares of its members. members: key, vertex, n,
     component."""
-    shares = 4 ** max(0, star - STARS + 1)
+    shares = 16 ** max(0, star - STARS + 1)
     rank = F.xxhash64("vertex", F.lit(star)) if star else F.col("vertex")
     share = F.pmod(F.xxhash64("vertex", F.lit(-1 - star)), F.lit(shares))
     first = F.min(F.struct(rank.alias("rank"), "vertex", "component", "n"))
