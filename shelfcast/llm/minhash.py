@@ -12,17 +12,24 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
    to ``SMALL`` shingles fill too few bins to be sure of a common band; they
    and all sets they can be similar to add a prefix of their hashes as keys,
    rarest first, which no similar pair can miss.
-2. *Stars.* A bucket's pairs are its members with its hub (the smallest), not
-   all pairs: as many as members. Pairs that share several buckets are checked
-   once; pairs whose set sizes rule a link out, or that are in one component
-   already, are not formed.
-3. *Confirmation.* Pairs are confirmed on full sets of 64-bit shingle hashes.
-4. *More stars.* A hub leaves its bucket once all members were held against
-   it. Buckets that still hold several components get new hubs in another
-   order, until none is left, so no link inside a bucket is lost. The first
+2. *Covered shingles.* Blocks of the texts in buckets of several members ask
+   hash buckets which shingles another such text holds. The count bounds any
+   intersection: an edited copy too far from all others has too many shingles
+   of its own and leaves before pairs are formed. No link is lost by this.
+   ``SWEEPS`` sweeps count anew among the texts that are left.
+3. *Stars.* A bucket's pairs are its members with its hub (the member with the
+   smallest part of shingles of its own, so the middle of a group of edited
+   copies), not all pairs: as many as members. Pairs that share several buckets
+   are checked once; pairs whose covered shingles rule a link out, or that are
+   in one component already, are not formed.
+4. *Confirmation.* Pairs are confirmed on full sets of 64-bit shingle hashes.
+5. *More stars.* A hub leaves its bucket once all members were held against
+   it. Buckets of one first hub become one, and sizes of intersections with it
+   bound those of further pairs. Buckets that still hold several components get
+   new hubs, until none is left, so no link inside a bucket is lost. The first
    ``STARS`` rounds take one hub a bucket; then their number grows sixteenfold
    each round, which bounds rounds by the logarithm of a bucket's size.
-5. *Components.* Smallest ids spread along confirmed links, with shortcuts.
+6. *Components.* Smallest ids spread along confirmed links, with shortcuts.
 
 Nulls and ties: a null or blank text has the empty set, is linked with nothing
 and is its own component; a null doc_id sorts before all others (its component
@@ -33,7 +40,7 @@ empty result. Columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +49,11 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from . import common as C
+from .phrase_dedup import reply_bits, seen_elsewhere
 
 SHINGLE, THRESHOLD = 5, 75
 BINS, BANDS, ROWS = 126, 42, 3
-SMALL, STARS = 64, 2
+SMALL, STARS, SWEEPS = 64, 2, 2
 PREFIXED = SMALL * 100 // THRESHOLD + 1  # largest set that adds a prefix
 
 SETS = "doc long, n_shingles long, s1 long, s2 long, keys array<long>, small array<long>"
@@ -140,59 +148,136 @@ def signatures(docs: DataFrame) -> DataFrame:
     return stage_table(docs.select("doc_id", "text").mapInArrow(run, SETS), "signatures")[0]
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(vertex, hashes binary) of the wanted vertices (column ``vertex``), staged."""
-    texts = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(C.NULL_ID)).cast("long")).alias("vertex"), "text")
-             .join(wanted, "vertex", "left_semi"))
+def _text_sets(block: C.Block) -> list[np.ndarray]:
+    """The sets of a block of texts."""
+    lens = block.offsets.astype(np.int32)
+    texts = pa.Array.from_buffers(pa.string(), len(block.ids), [None, pa.py_buffer(lens), pa.py_buffer(block.data)])
+    sets: list[np.ndarray] = []
+    for i in range(0, len(texts), 200):
+        sets.extend(shingle_sets(texts.slice(i, 200)))
+    return sets
+
+
+def _kept_sets(block: C.Block) -> list[np.ndarray]:
+    """The sets of a block that a sweep has written."""
+    hashes, cuts = block.data.view(np.uint64), (block.offsets // 8).tolist()
+    return [hashes[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _sweep(blocks: DataFrame, sets_of: Callable, threshold: int) -> DataFrame:
+    """Blocks of the sets that can have a link, with ``covered``, staged."""
+    buckets = C.bucket_count(blocks, 8)
+
+    def distinct(sets):
+        keys, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+        return keys, (count > 1).astype(np.uint8)
+
+    shared = C.exchange(blocks, lambda block, _row: list(distinct(sets_of(block))), seen_elsewhere, buckets, "shared")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         for batch in batches:
-            C.lean()
-            text, ids = C.text_column(batch), batch.column("vertex")
-            for i in range(0, len(text), 200):
-                sets = [h.tobytes() for h in shingle_sets(text.slice(i, 200))]
-                yield pa.RecordBatch.from_arrays([ids.slice(i, 200), pa.array(sets, pa.binary())], names=["vertex", "hashes"])
+            for i, block in C.unpack(batch):
+                sets = sets_of(block)
+                keys, _ = distinct(sets)
+                found = reply_bits(batch, i, "shared", keys, buckets)
+                covered = np.array([int(found[np.searchsorted(keys, h)].sum()) for h in sets], np.int64)
+                n = np.array([len(h) for h in sets], np.int64)
+                pick = np.flatnonzero((n > 0) & (100 * covered >= threshold * n))
+                if len(pick):
+                    data = zstandard.ZstdCompressor(level=1).compress(np.concatenate([sets[d] for d in pick]).tobytes())
+                    row = (block.block, block.ids[pick].tobytes(), (8 * n[pick]).tobytes(), data, C.ipc_bytes(pa.table({"covered": covered[pick]})))
+                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["block", "ids", "lens", "data", "more"])
+
+    return stage_table(blocks.join(shared, "block", "left").mapInArrow(run, C.BLOCK_SCHEMA), "swept")[0]
+
+
+def linkable_sets(docs: DataFrame, wanted: DataFrame, threshold: int = THRESHOLD, sweeps: int = SWEEPS) -> DataFrame:
+    """(vertex, n, covered, hashes binary) of the wanted vertices (column
+    ``vertex``), staged. ``covered`` counts the shingles found in another
+    wanted text too. An intersection holds covered shingles only, so vertices
+    with fewer than ``threshold`` percent of them have no link and are left
+    out; a further sweep counts among those that are left."""
+    texts = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(C.NULL_ID)).cast("long")).alias("doc_id"), "text")
+             .join(wanted.select(F.col("vertex").alias("doc_id")), "doc_id", "left_semi"))
+    swept = _sweep(C.pack_blocks(texts, "near-blocks", C.BLOCK_BYTES // 2), _text_sets, threshold)
+    for _ in range(sweeps - 1):
+        swept = _sweep(swept, _kept_sets, threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, block in C.unpack(batch):
+                sets = _kept_sets(block)
+                covered = block.more.column("covered").combine_chunks()
+                for j in range(0, len(sets), 200):
+                    some = sets[j:j + 200]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(block.ids[j:j + 200]), pa.array([len(h) for h in some], pa.int64()), covered.slice(j, 200),
+                        pa.array([h.tobytes() for h in some], pa.binary()),
+                    ], names=["vertex", "n", "covered", "hashes"])
 
-    return stage_table(texts.mapInArrow(run, "vertex long, hashes binary"), "full-sets")[0]
+    return stage_table(swept.mapInArrow(run, "vertex long, n long, covered long, hashes binary"), "full-sets")[0]
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, staged."""
+    """The pairs (a, b) with the size of their full sets' intersection
+    (``common``) and whether that is similar enough (``linked``), staged."""
     left = sets.select(F.col("vertex").alias("b"), F.col("hashes").alias("of_b"))
     right = sets.select(F.col("vertex").alias("a"), F.col("hashes").alias("of_a"))
-    both = pairs.join(left, "b").join(right, "a").where(
-        (100 * F.least(F.length("of_a"), F.length("of_b")) >= threshold * F.greatest(F.length("of_a"), F.length("of_b"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
+            both, linked = [], []
             for x, y in zip(batch.column("of_a"), batch.column("of_b")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 merged = np.concatenate([x, y])
                 merged.sort()
                 common = int((merged[1:] == merged[:-1]).sum())
-                ok.append(100 * common >= threshold * (len(x) + len(y) - common) and common > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                both.append(common)
+                linked.append(100 * common >= threshold * (len(x) + len(y) - common) and common > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(linked, pa.bool_())],
+                                             names=["a", "b", "common", "linked"])
+
+    told = pairs.join(left, "b").join(right, "a").mapInArrow(run, "a long, b long, common long, linked boolean")
+    return stage_table(told, "checked")[0]
+
 
-    return stage_table(both.mapInArrow(run, "a long, b long").distinct(), "links")[0]
+def by_first_hub(members: DataFrame, hubs: DataFrame, checked: DataFrame) -> DataFrame:
+    """The members with all buckets of one first hub as one bucket, whose key
+    is the hub, and ``via``: the size of the intersection with it where that
+    pair was checked (null elsewhere, and where repeated doc_ids gave it
+    several sizes). Members that share a bucket still do, and a group that
+    fills many buckets is no longer repeated in each."""
+    size = checked.groupBy("a", "b").agg(F.min("common").alias("low"), F.max("common").alias("high")).where("low = high").select("a", "b", F.col("low").alias("via"))
+    merged = members.drop("via").join(hubs.select("key", "hub"), "key").drop("key").withColumnRenamed("hub", "key").distinct()
+    ends = merged.withColumn("a", F.least("vertex", "key")).withColumn("b", F.greatest("vertex", "key"))
+    return ends.join(size, ["a", "b"], "left").drop("a", "b")
 
 
 def hubs_of(members: DataFrame, star: int) -> DataFrame:
-    """(key, hub, hub_component, hub_n): the hubs of each bucket in one round,
-    one in each of ``shares`` shares of its members. members: key, vertex, n,
-    component."""
+    """(key, hub, hub_component, hub_n, hub_covered, hub_via): the hubs of each bucket
+    in one round, one in each of ``shares`` shares of its members: the member
+    with the smallest part of shingles of its own, which most others resemble.
+    members: key, vertex, n, covered, via, component."""
     shares = 16 ** max(0, star - STARS + 1)
-    rank = F.xxhash64("vertex", F.lit(star)) if star else F.col("vertex")
+    own = (F.col("n") - F.col("covered")) / F.col("n")
     share = F.pmod(F.xxhash64("vertex", F.lit(-1 - star)), F.lit(shares))
-    first = F.min(F.struct(rank.alias("rank"), "vertex", "component", "n"))
+    first = F.min(F.struct(own.alias("own"), "vertex", "component", "n", "covered", "via"))
     hubs = members.groupBy("key", share.alias("share")).agg(first.alias("h"))
-    return hubs.select("key", F.col("h.vertex").alias("hub"), F.col("h.component").alias("hub_component"), F.col("h.n").alias("hub_n"))
+    return hubs.select("key", *(F.col(f"h.{c}").alias(f"hub_{c}" if c != "vertex" else "hub") for c in ("vertex", "component", "n", "covered", "via")))
 
 
 def star_pairs(members: DataFrame, hubs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a < b) of each member of a bucket with the bucket's hubs, where
-    components differ and the sizes of the sets allow a link."""
-    fits = 100 * F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n")
+    components differ and the covered shingles allow a link: an intersection
+    of at most ``common`` makes a union of at least n + hub_n - common. With
+    the bucket's first hub known (``via``), what both share lies inside it or
+    among the other covered shingles, each bounded by itself."""
+    common = F.least("covered", "hub_covered")
+    inside = F.least("via", "hub_via") + F.least(F.col("covered") - F.col("via"), F.col("hub_covered") - F.col("hub_via"))
+    common = F.when(F.col("via").isNotNull() & F.col("hub_via").isNotNull(), inside).otherwise(common)
+    fits = 100 * common >= threshold * (F.col("n") + F.col("hub_n") - common)
     pairs = members.join(hubs, "key").where((F.col("component") != F.col("hub_component")) & fits)
     return pairs.select(F.least("vertex", "hub").alias("a"), F.greatest("vertex", "hub").alias("b")).distinct()
 
@@ -244,7 +329,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = stage_table(buckets.distinct(), "buckets")[0]
     rest = several_components(buckets.withColumn("component", F.col("vertex")))
     rest = stage_table(rest, "members")[0]  # most keys have one member
-    sets = full_sets(docs, rest.select("vertex").distinct())
+    sets = linkable_sets(docs, rest.select("vertex").distinct())
+    covered = sets.groupBy("vertex", "n").agg(F.max("covered").alias("covered"))
+    rest = rest.join(covered, ["vertex", "n"]).withColumn("via", F.lit(None).cast("long"))
+    rest = stage_table(several_components(rest), "linkable")[0]
     links = spark.createDataFrame([], "a long, b long")
     tested, labels, star = links, None, 0
     while not rest.isEmpty():
@@ -252,16 +340,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = star_pairs(rest, hubs)
         if star:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage_table(pairs, "pairs")[0]
-        found = confirm(pairs, sets)
-        tested = tested.unionAll(pairs)
+        checked = confirm(pairs, sets)
+        found = checked.where("linked").select("a", "b").distinct()
+        tested = tested.unionAll(checked.select("a", "b"))
         # A hub has met all members of its bucket that it can be linked with.
         rest = rest.join(hubs.select("key", F.col("hub").alias("vertex"), F.col("hub_n").alias("n")), ["key", "vertex", "n"], "left_anti")
+        if not star:
+            rest = stage_table(by_first_hub(rest, hubs, checked), "by-first-hub")[0]
         if not found.isEmpty():
             links = stage_table(links.unionAll(found), "all-links")[0]
             labels = components(links)
             rest = rest.drop("component").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
-        rest = stage_table(several_components(rest.select("key", "vertex", "n", "component")), "rest")[0]
+        rest = stage_table(several_components(rest.select("key", "vertex", "n", "covered", "via", "component")), "rest")[0]
         star += 1
     if labels is None:
         labels = spark.createDataFrame([], "vertex long, component long")
