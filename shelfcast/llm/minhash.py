@@ -27,7 +27,7 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
    it. Buckets of one first hub become one, and sizes of intersections with it
    bound those of further pairs. Buckets that still hold several components get
    new hubs, until none is left, so no link inside a bucket is lost. The first
-   ``STARS`` rounds take one hub a bucket; then their number grows sixteenfold
+   ``STARS`` rounds take one hub a bucket; then their number grows 64-fold
    each round, which bounds rounds by the logarithm of a bucket's size.
 6. *Components.* Smallest ids spread along confirmed links, with shortcuts.
 
@@ -53,7 +53,7 @@ from .phrase_dedup import reply_bits, seen_elsewhere
 
 SHINGLE, THRESHOLD = 5, 75
 BINS, BANDS, ROWS = 126, 42, 3
-SMALL, STARS, SWEEPS = 64, 2, 2
+SMALL, STARS, SWEEPS = 64, 1, 1
 PREFIXED = SMALL * 100 // THRESHOLD + 1  # largest set that adds a prefix
 
 SETS = "doc long, n_shingles long, s1 long, s2 long, keys array<long>, small array<long>"
@@ -260,7 +260,7 @@ def hubs_of(members: DataFrame, star: int) -> DataFrame:
     in one round, one in each of ``shares`` shares of its members: the member
     with the smallest part of shingles of its own, which most others resemble.
     members: key, vertex, n, covered, via, component."""
-    shares = 16 ** max(0, star - STARS + 1)
+    shares = 64 ** max(0, star - STARS + 1)
     own = (F.col("n") - F.col("covered")) / F.col("n")
     share = F.pmod(F.xxhash64("vertex", F.lit(-1 - star)), F.lit(shares))
     first = F.min(F.struct(own.alias("own"), "vertex", "component", "n", "covered", "via"))
