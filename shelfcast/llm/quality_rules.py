@@ -5,21 +5,26 @@ to an earlier one, and words in five-word windows found twice or more. They
 become a vector (``VECTOR``): log length, log mean word length, and the roots
 of the shares of symbols, repeated lines and repeated words.
 
-For each language and source the minimum covariance determinant is estimated:
-from medians and median deviations as a start, concentration steps take the
-``SUBSET`` share of the rows with the smallest distances and their mean and
-covariance. The covariance gets a consistency factor and the squares of
-``FLOOR`` on its diagonal (a group where most documents have no symbol at all
-would else reject the first one that has). A document is rejected if its
-squared Mahalanobis distance exceeds ``CUTOFF``.
-
-Vectors are staged once; every step is one or two aggregations by group with
-partial aggregation, so a source with a third of all rows is summed up in
-many tasks. Group tables join back by AQE's choice of join.
+For each language and source the minimum covariance determinant is estimated.
+From each of ``STARTS`` (medians and median deviations; mean and covariance of
+all rows, of the shorter and the longer half, and of the rows at or below the
+medians of the three shares) concentration steps take the ``SUBSET`` share of
+the rows with the smallest distances and their mean and covariance, until the
+determinant falls no further; the start with the smallest one counts. The
+covariance gets a consistency factor; only a direction whose variance is below
+the square of ``RIDGE`` (a group where most documents have no symbol at all)
+gets that instead. A document is rejected if its squared Mahalanobis distance
+exceeds ``CUTOFF``.
+
+Vectors are staged once; every step is one or two aggregations by group and
+start with partial aggregation, so a source with a third of all rows is summed
+up in many tasks. Settled starts leave the steps. Group tables join back by
+AQE's choice of join.
 
 Nulls and ties: a null text has no words; null lang or source are groups of
-their own; base_failed documents take no part in the estimates. Small groups
-lean on ``FLOOR``. An empty table gives an empty result.
+their own; base_failed documents take no part in the estimates. Groups of less
+than ``SMALL`` rows, too few for a covariance, get the squares of ``FLOOR`` on
+its diagonal. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,9 +42,14 @@ SUBSET = 0.75
 CONSISTENCY = 1.416
 #: The 0.9999 quantile of chi2_5.
 CUTOFF = 25.74
-#: Least standard deviations of the five entries.
-FLOOR = (0.7, 0.15, 0.12, 0.12, 0.12)
-STEPS = 3
+#: Standard deviation of a direction in which a group does not vary: less than
+#: a tenth in length, and about one symbol, line or word in 300 words.
+RIDGE = (0.1, 0.05, 0.06, 0.06, 0.06)
+#: Standard deviations added in groups of less than SMALL rows.
+FLOOR, SMALL = (0.7, 0.15, 0.12, 0.12, 0.12), 25
+STARTS = ("medians", "all", "shorter", "longer", "plain")
+#: A start is settled when its log determinant falls by no more.
+SETTLED = 1e-4
 DIM = 5
 _BLANKS = r"[\x20\x09-\x0D]"
 
@@ -117,38 +127,67 @@ def _whiten(df: DataFrame) -> DataFrame:
 
 
 def _factor(groups: DataFrame) -> DataFrame:
-    """Cholesky factor l of the covariances s with the floor on the diagonal."""
+    """Cholesky factor l of the covariances s, and its log determinant."""
+    small = F.col("n") < SMALL
     for r in range(DIM):
         for k in range(r + 1):
-            rest = F.coalesce(F.col(f"s{r}{k}"), F.lit(0.0)) * CONSISTENCY + (F.lit(FLOOR[r] ** 2) if r == k else F.lit(0.0))
+            rest = F.coalesce(F.col(f"s{r}{k}"), F.lit(0.0)) * CONSISTENCY
+            if r == k:
+                rest = rest + F.when(small, FLOOR[r] ** 2).otherwise(0.0)
             for j in range(k):
                 rest = rest - F.col(f"l{r}{j}") * F.col(f"l{k}{j}")
-            groups = groups.withColumn(f"l{r}{k}", F.sqrt(F.greatest(rest, F.lit(1e-6))) if r == k else rest / F.col(f"l{k}{k}"))
-    return groups.select(*_KEYS, *[f"m{r}" for r in range(DIM)], *[f"l{r}{k}" for r in range(DIM) for k in range(r + 1)])
+            groups = groups.withColumn(f"l{r}{k}", F.sqrt(F.greatest(rest, F.lit(RIDGE[r] ** 2))) if r == k else rest / F.col(f"l{k}{k}"))
+    log_det = reduce(lambda a, b: a + b, (2 * F.log(F.col(f"l{r}{r}")) for r in range(DIM)))
+    return groups.select(*_KEYS, "start", "n", log_det.alias("log_det"), *_ESTIMATE)
+
+
+_ESTIMATE = [f"m{r}" for r in range(DIM)] + [f"l{r}{k}" for r in range(DIM) for k in range(r + 1)]
 
 
 def _moments(rows: DataFrame) -> DataFrame:
+    """Of each group and start; n is that of the whole group."""
     means = [F.avg(f"x{r}").alias(f"m{r}") for r in range(DIM)]
-    return rows.groupBy(*_KEYS).agg(*means, *[F.covar_pop(f"x{r}", f"x{k}").alias(f"s{r}{k}") for r in range(DIM) for k in range(r + 1)])
+    return rows.groupBy(*_KEYS, "start").agg(
+        F.first("n").alias("n"), *means, *[F.covar_pop(f"x{r}", f"x{k}").alias(f"s{r}{k}") for r in range(DIM) for k in range(r + 1)])
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """The first estimates of each group, by start."""
+    middle = vectors.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f"x{r}", 0.5, 10000).alias(f"c{r}") for r in range(DIM)])
+    middle = stage_table(middle, "medians")[0]
+    centred = vectors.join(middle, _KEYS)
+    spread = centred.groupBy(*_KEYS).agg(
+        F.first("n").alias("n"), *[F.first(f"c{r}").alias(f"m{r}") for r in range(DIM)],
+        *[F.percentile_approx(F.abs(F.col(f"x{r}") - F.col(f"c{r}")), 0.5, 10000).alias(f"d{r}") for r in range(DIM)])
+    medians = spread.withColumns({f"s{r}{k}": F.pow(F.col(f"d{r}") * 1.4826, 2) if r == k else F.lit(0.0) for r in range(DIM) for k in range(r + 1)})
+    plain = reduce(lambda a, b: a & b, (F.col(f"x{r}") <= F.col(f"c{r}") for r in range(2, DIM)))
+    parts = {"all": F.lit(True), "shorter": F.col("x0") <= F.col("c0"), "longer": F.col("x0") > F.col("c0"), "plain": plain}
+    named = F.array_compact(F.array(*[F.when(part, name) for name, part in parts.items()]))
+    of_parts = _moments(centred.withColumn("start", F.explode(named)))
+    return _factor(medians.withColumn("start", F.lit(STARTS[0]))).unionByName(_factor(of_parts))
 
 
 def estimates(vectors: DataFrame) -> DataFrame:
     """Robust mean and Cholesky factor of each group of the staged vectors
     (columns g_lang, g_source, x0..x4)."""
-    middle = vectors.groupBy(*_KEYS).agg(*[F.percentile_approx(f"x{r}", 0.5, 10000).alias(f"m{r}") for r in range(DIM)])
-    middle = stage_table(middle, "medians")[0]
-    spread = vectors.join(middle, _KEYS).groupBy(*_KEYS).agg(
-        *[F.first(f"m{r}").alias(f"m{r}") for r in range(DIM)],
-        *[F.percentile_approx(F.abs(F.col(f"x{r}") - F.col(f"m{r}")), 0.5, 10000).alias(f"d{r}") for r in range(DIM)])
-    start = spread.withColumns({f"s{r}{k}": F.pow(F.col(f"d{r}") * 1.4826, 2) if r == k else F.lit(0.0) for r in range(DIM) for k in range(r + 1)})
-    groups = stage_table(_factor(start), "estimates")[0]
-    for _ in range(STEPS):
-        placed = _whiten(vectors.join(groups, _KEYS)).select(*_KEYS, *[f"x{r}" for r in range(DIM)], "distance")
-        cut = placed.groupBy(*_KEYS).agg(F.percentile_approx("distance", SUBSET, 10000).alias("cut"))
+    by = [*_KEYS, "start"]
+    # What a start covers is no subset of the wanted size: its determinant is not compared.
+    active = stage_table(_starts(vectors).withColumn("log_det", F.lit(float("inf"))), "starts")[0]
+    settled = []
+    while not active.isEmpty():
+        placed = _whiten(vectors.join(active, _KEYS)).select(*by, "n", *[f"x{r}" for r in range(DIM)], "distance")
+        cut = placed.groupBy(*by).agg(F.percentile_approx("distance", SUBSET, 10000).alias("cut"))
         cut = stage_table(cut, "cuts")[0]
-        near = placed.join(cut, _KEYS).where(F.col("distance") <= F.col("cut"))
-        groups = stage_table(_factor(_moments(near)), "estimates")[0]
-    return groups
+        near = placed.join(cut, by).where(F.col("distance") <= F.col("cut"))
+        before = active.select(*by, F.col("log_det").alias("before"))
+        step = stage_table(_factor(_moments(near)).join(before, by), "estimates")[0]
+        falls = F.col("log_det") < F.col("before") - SETTLED
+        settled.append(step.where(~falls).drop("before"))
+        active = step.where(falls).drop("before")
+    if not settled:
+        return active.select(*_KEYS, *_ESTIMATE)
+    least = reduce(DataFrame.unionByName, settled).groupBy(*_KEYS).agg(F.min(F.struct("log_det", "start", *_ESTIMATE)).alias("e"))
+    return stage_table(least.select(*_KEYS, *[f"e.{c}" for c in _ESTIMATE]), "least")[0]
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
