@@ -6,11 +6,13 @@ with a smaller doc_id goes. Matches never cross documents.
 1. *Anchors.* In each window of ``width`` bytes, the k-byte string with the
    smallest hash (leftmost if tied) is its anchor; equal windows have equal
    anchors at equal places. Blocks of documents learn from hash buckets which
-   anchors occur elsewhere too.
+   anchors occur elsewhere too, and which have more than ``FREQUENT`` segments.
 2. *Collection.* The windows that share one anchor occurrence form a segment,
    a row of at most ``2 * width - k`` bytes lined up by its anchor. A block
    sends its distinct segments with recurring anchors, each with its smallest
-   doc_id, to the anchor's bucket.
+   doc_id, to the anchor's bucket. Segments of a frequent anchor go as their
+   single windows, distinct in the block, each to the bucket of its own hash,
+   so a phrase in ever new surroundings spreads over all buckets.
 3. *Columns.* Each bucket sorts its collection column by column from the
    right: a round inserts one symbol per segment, taken in the order of the
    last round (the symbols read in that order are the column's part of the
@@ -21,8 +23,9 @@ with a smaller doc_id goes. Matches never cross documents.
 
 Comparison is byte by byte, so hashes only choose what is compared. The
 arrays of a round take the place of the sequential external files of the
-construction on one disk: a bucket holds a bounded share of the segments, and
-executors have no folder of their own that others could read.
+construction on one disk: one key brings a bucket at most ``FREQUENT`` segments
+or one window of each block, and executors have no folder of their own that
+others could read.
 
 Nulls and ties: a null text is empty; a null doc_id sorts before all others;
 equal doc_ids are not smaller than one another. An empty table gives an empty
@@ -42,6 +45,8 @@ from . import common as C
 from .phrase_dedup import reply_bits, seen_elsewhere
 
 WIDTH, ANCHOR = 50, 24
+#: Segments of one anchor, distinct in their blocks, that may meet in one bucket.
+FREQUENT = 4096
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary, kept_sha256 string"
 
@@ -93,13 +98,78 @@ def _anchor_keys(parts: list):
     return keys, (low != high).astype(np.uint8), inverse
 
 
+def _segment_counts(parts: list, keys: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """Distinct segments of each anchor."""
+    _, one = np.unique(np.concatenate([s.identity for _, _, s in parts]), return_index=True)
+    return np.bincount(inverse[one], minlength=len(keys)).astype(np.uint32)
+
+
+def _recurring(frequent: int):
+    """Reply bits of seen_elsewhere, then as many: the anchor is frequent."""
+    def answer(pieces):
+        keys, inverse = np.unique(np.concatenate([p[0] for p in pieces]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([p[2] for p in pieces]), minlength=len(keys))
+        many = (total > frequent)[inverse]
+        cuts = np.cumsum([0] + [len(p[0]) for p in pieces])
+        return [seen + np.packbits(many[a:b]).tobytes() for seen, a, b in zip(seen_elsewhere(pieces), cuts[:-1], cuts[1:])]
+    return answer
+
+
+def _frequent_bits(batch: pa.RecordBatch, i: int, keys: np.ndarray, buckets: int) -> np.ndarray:
+    sizes = np.diff(C.bucket_bounds(keys, buckets))
+    parts = [np.unpackbits(np.frombuffer(r[len(r) // 2:], np.uint8), count=int(n)) for r, n in zip(C.replies_of(batch, i, "anchors"), sizes[sizes > 0])]
+    return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
+
+
+class _Requests:
+    """What a block sends of its distinct segments, sorted by key: whole
+    segments by anchor, and the distinct windows of ``frequent`` ones by hash."""
+
+    def __init__(self, anchor, lo, hi, least, rows, frequent: np.ndarray, width: int):
+        self.whole, hot = np.flatnonzero(~frequent), np.flatnonzero(frequent)
+        count = hi[hot].astype(np.int64) - lo[hot] + 1
+        self.segment = np.repeat(hot, count)
+        self.column = np.arange(len(self.segment)) - np.repeat(np.cumsum(count) - count, count) + lo[self.segment]
+        found = np.empty(len(self.segment), np.uint64)
+        columns = rows.shape[1]
+        for a in range(0, len(hot), 1 << 13):
+            run = hot[a:a + (1 << 13)]
+            p = C.prefix_hash(rows[run].ravel())
+            mine = slice(int(count[:a].sum()), int(count[:a + len(run)].sum()))
+            at = (np.searchsorted(run, self.segment[mine])) * columns + self.column[mine]
+            found[mine] = C.mix((p[at + width] - p[at]) * C.powers(len(p))[1][at])
+        keys, one, self.window = np.unique(found, return_index=True, return_inverse=True)
+        low = np.full(len(keys), np.iinfo(np.int64).max)
+        np.minimum.at(low, self.window, least[self.segment])
+        self.later = least[self.segment] > low[self.window]  # the window's first holder is another segment's
+        column = self.column[one].astype(np.uint8)
+        place = np.arange(columns)
+        there = (place >= column[:, None]) & (place < column[:, None].astype(np.int64) + width)
+        key = np.concatenate([anchor[self.whole], keys])
+        self.order = np.argsort(key, kind="stable")
+        self.arrays = [x[self.order] for x in (
+            key, np.concatenate([lo[self.whole], column]), np.concatenate([hi[self.whole], column]), np.concatenate([least[self.whole], low]),
+            np.concatenate([rows[self.whole], np.where(there, rows[self.segment[one]], 0).astype(np.uint8)]))]
+
+    def masks(self, replies: np.ndarray, segments: int) -> np.ndarray:
+        """Column mask of each distinct segment."""
+        answer = np.empty(len(replies), np.uint32)
+        answer[self.order] = replies
+        out = np.zeros(segments, np.uint32)
+        out[self.whole] = answer[:len(self.whole)]
+        bit = np.uint32(1) << self.column.astype(np.uint32)
+        np.bitwise_or.at(out, self.segment, np.where(self.later, bit, answer[len(self.whole):][self.window] & bit))
+        return out
+
+
 def _collection(block: C.Block, row, width: int, k: int, buckets: int):
     """(parts, per part: picked segments and their distinct segment, anchors,
-    lo, hi, smallest id, rows) of the block's segments with recurring anchors,
-    distinct and sorted by anchor."""
+    lo, hi, smallest id, rows, whether the anchor is frequent) of the block's
+    segments with recurring anchors, distinct and sorted by anchor."""
     parts = list(_parts(block, width, k))
     keys, _, inverse = _anchor_keys(parts)
     recurs = reply_bits(*row, "anchors", keys, buckets)[inverse]
+    many = _frequent_bits(*row, keys, buckets)
     at, picks, found = 0, [], []
     for a, _, s in parts:
         pick = np.flatnonzero(recurs[at:at + len(s.pos)])
@@ -124,7 +194,7 @@ def _collection(block: C.Block, row, width: int, k: int, buckets: int):
         pick = picks[j][one[mine] - base[j]]
         lo[mine], hi[mine], rows[mine] = s.lo[pick], s.hi[pick], s.rows(pick)
     groups = [group[base[j]:base[j + 1]] for j in range(len(parts))]
-    return parts, picks, groups, anchor[one], lo, hi, least, rows
+    return parts, picks, groups, anchor[one], lo, hi, least, rows, many[np.searchsorted(keys, anchor[one])]
 
 
 def repeated_windows(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
@@ -167,7 +237,7 @@ def _answer(width: int):
     return answer
 
 
-def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, texts: bool = True) -> DataFrame:
+def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, texts: bool = True, frequent: int = FREQUENT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal
     removed runs), spans (their starts and lengths in turn), kept (remaining
     bytes, null unless ``texts``) and its sha256.
@@ -179,15 +249,16 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR,
     buckets = C.bucket_count(blocks, 8)
 
     def ask(block, _row):
-        keys, twice, _ = _anchor_keys(list(_parts(block, width, anchor)))
-        return [keys, twice]
+        parts = list(_parts(block, width, anchor))
+        keys, twice, inverse = _anchor_keys(parts)
+        return [keys, twice, _segment_counts(parts, keys, inverse)]
 
-    anchors = C.exchange(blocks, ask, seen_elsewhere, buckets, "anchors")
+    anchors = C.exchange(blocks, ask, _recurring(frequent), buckets, "anchors")
     known = blocks.join(anchors, "block", "left")
 
     def ask_segments(block, row):
-        _, _, _, keys, lo, hi, least, rows = _collection(block, row, width, anchor, buckets)
-        return [keys, lo, hi, least, rows]
+        _, _, _, *segments = _collection(block, row, width, anchor, buckets)
+        return _Requests(*segments, width).arrays
 
     shares = C.bucket_count(blocks, 4)
     masks = C.exchange(known, ask_segments, _answer(width), shares, "masks")
@@ -195,9 +266,11 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, block in C.unpack(batch):
-                parts, picks, groups, _, _, _, least, _ = _collection(block, (batch, i), width, anchor, buckets)
+                parts, picks, groups, *segments = _collection(block, (batch, i), width, anchor, buckets)
+                least = segments[3]
                 replies = C.replies_of(batch, i, "masks")
                 mask = np.concatenate([np.frombuffer(r, "<u4") for r in replies]) if replies else np.zeros(0, np.uint32)
+                mask = _Requests(*segments, width).masks(mask, len(least))
                 for (a, b, s), pick, group in zip(parts, picks, groups):
                     first = block.offsets[a]
                     gone = _covered(s, pick, group, mask, least, block.ids[a:b], width)

@@ -219,3 +219,43 @@ def test_quality_rules_reject_planted_outliers(spark):
     assert not any(kept[d] for d in (9000, 9001, 9002, 9003)) and not out.base_failed.loc[out.doc_id >= 9000].any()
     assert sum(kept[d] for d in range(300)) >= 298
     assert list(out.kept) == list(mcd_verdict(out))
+
+
+@pytest.mark.parametrize("frequent", [0, 3])
+def test_suffix_dedup_splits_frequent_anchors(spark, rows, frequent):
+    from shelfcast.llm.suffix_dedup import dedup_substrings
+    same(dedup_substrings(frame(spark, rows), frequent=frequent).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.op9(rows))
+
+
+def phrase_blocks():
+    """Blocks whose documents share a phrase of 48 bytes in surroundings of their own."""
+    import numpy as np
+
+    from shelfcast.llm import common as C
+    rng = random.Random(6)
+    letters = lambda n: bytes(rng.choice(b"abcdefghijklmnop") for _ in range(n))
+    phrase = letters(48)
+    for b in range(4):
+        texts = [letters(60) + phrase + letters(60) for _ in range(100)]
+        yield np.arange(100 * b, 100 * b + 100), np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+
+
+def test_no_key_of_suffix_dedup_grows_with_a_phrase():
+    import numpy as np
+
+    from shelfcast.llm import suffix_dedup as S
+    received, asked, parts = [], [], []
+    for ids, data, offsets in phrase_blocks():
+        part = [(0, len(ids), S._Segments(data, offsets, 50, 24))]
+        keys, twice, inverse = S._anchor_keys(part)
+        parts.append((part[0][2], ids))
+        asked.append([keys, twice, S._segment_counts(part, keys, inverse)])
+    replies = S._recurring(50)(asked)
+    for (s, ids), (keys, _, _), reply in zip(parts, asked, replies):
+        many = np.unpackbits(np.frombuffer(reply[len(reply) // 2:], np.uint8), count=len(keys)).astype(bool)
+        every = np.arange(len(s.pos))
+        request = S._Requests(s.anchor, s.lo, s.hi, ids[s.doc], s.rows(every), many[np.searchsorted(keys, s.anchor)], 50)
+        received.append(request.arrays[0])
+    shared = np.concatenate([s.anchor for s, _ in parts])
+    assert np.unique(shared, return_counts=True)[1].max() >= 200
+    assert np.unique(np.concatenate(received), return_counts=True)[1].max() <= 50
