@@ -259,3 +259,28 @@ def test_no_key_of_suffix_dedup_grows_with_a_phrase():
     shared = np.concatenate([s.anchor for s, _ in parts])
     assert np.unique(shared, return_counts=True)[1].max() >= 200
     assert np.unique(np.concatenate(received), return_counts=True)[1].max() <= 50
+
+
+def test_attention_counts_all_training_text(spark, rows):
+    import numpy as np
+    import public_tokenizers
+
+    from shelfcast.llm import attention_lm as A
+    from shelfcast.llm import common as C
+    from shelfcast.llm import packing
+    tokenizer = packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    sub, want = A.Subwords(tokenizer), 0
+    want = np.zeros(sub.size, np.int64)
+    for d, t in rows:
+        if not A._is_held_out(np.array([C.NULL_ID if d is None else d]))[0]:
+            words = brute.words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+            for ids in sub.ids([w.encode() for w in words]):
+                np.add.at(want, ids, 1)
+    blocks = C.pack_blocks(frame(spark, rows), "lm-blocks", 1 << 12)
+    known = blocks.join(C.exchange(blocks, A._ask, A._total, 3, "counts"), "block", "left")
+    assert (A.id_counts(known, tokenizer, sub.size) == want).all()
+    if len(rows) > 50:
+        model = A.fit(frame(spark, rows).select("doc_id", "text"), tokenizer, 1, known, 5)
+        total = np.bincount(model.cls, weights=np.append(want, 5), minlength=A.CLASSES)
+        size = np.bincount(model.cls, minlength=A.CLASSES)
+        assert np.allclose(10.0 ** model.within, (np.append(want, 5) + 0.1) / (total + 0.1 * size)[model.cls], rtol=1e-4)
