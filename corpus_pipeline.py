@@ -40,12 +40,17 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the smallest doc_id
-    (rows of the same doc_id and text count as one)."""
+    """One row of each group of near copies stays: that of the smallest doc_id
+    (null is smallest). Rows of the same doc_id and text count as one; other
+    rows are told apart by a key of their own, whatever their doc_id."""
     C.prepare(spark)
-    found = stage_table(minhash.near_duplicates(docs), "near-duplicates")[0]
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    rows = docs.select(*COLUMNS).dropDuplicates(["doc_id", "text"]).withColumn("__row", F.monotonically_increasing_id())
+    rows = stage_table(rows, "near-rows")[0]  # the keys stay as they are
+    found = stage_table(minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")), "near-duplicates")[0]
+    ranked = rows.select("__row", F.struct("doc_id", F.xxhash64("text"), "__row").alias("rank"))
+    first = (ranked.join(found.select(F.col("doc_id").alias("__row"), "component_id"), "__row")
+             .groupBy("component_id").agg(F.min("rank").alias("rank")).select("rank.__row"))
+    return rows.join(first, "__row", "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
