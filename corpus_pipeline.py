@@ -26,9 +26,12 @@ def _shaped(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier rejects go."""
+    """Documents that the compression classifier rejects go; without labels of
+    both classes there is no classifier, and all stay."""
     C.prepare(spark)
     model = compression_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if model is None:
+        return docs.select(*COLUMNS)
     scored = compression_quality.score(docs.select(*COLUMNS), model)
     return scored.where("predicted = 1").select(*COLUMNS)
 

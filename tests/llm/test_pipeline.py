@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline as P
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -20,6 +22,14 @@ def near(text):
     return text + " edited"
 
 
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (3, 1, 0)]])
+def test_no_classifier_keeps_all(spark, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(1, texts(1)), (2, None), (3, texts(2)), (3, texts(2)), (None, "")]
+    out = P.quality_classifier(spark, docs_of(spark, rows), str(tmp_path))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, rows))
+
+
 def test_near_duplicates_go_by_row(spark):
     x, y, z, n = texts(1), texts(2), texts(3), texts(4)
     rows = [(3, x), (5, near(x)), (5, y), (7, z), (7, z), (8, None), (None, n), (None, near(n)), (None, texts(5))]
