@@ -70,7 +70,7 @@ class _Segments:
         tail = np.append(head[1:], len(at))[:len(head)] - 1
         self.pos = pos[head]
         self.lo, self.hi = at[head] - self.pos + w - 1, at[tail] - self.pos + w - 1
-        self.anchor = grams[self.pos]
+        self.anchor = C.mix(grams[self.pos])  # minima are small: mixed anew, they fill all buckets alike
         self.doc = np.searchsorted(offsets, self.pos, "right") - 1
         whole = (p[at[tail] + width] - p[at[head]]) * inverse[at[head]]
         self.identity = C.mix(whole ^ C.mix(self.anchor + (self.lo * 256 + self.hi).astype(np.uint64)))

@@ -243,6 +243,7 @@ def phrase_blocks():
 def test_no_key_of_suffix_dedup_grows_with_a_phrase():
     import numpy as np
 
+    from shelfcast.llm import common as C
     from shelfcast.llm import suffix_dedup as S
     received, asked, parts = [], [], []
     for ids, data, offsets in phrase_blocks():
@@ -259,6 +260,8 @@ def test_no_key_of_suffix_dedup_grows_with_a_phrase():
     shared = np.concatenate([s.anchor for s, _ in parts])
     assert np.unique(shared, return_counts=True)[1].max() >= 200
     assert np.unique(np.concatenate(received), return_counts=True)[1].max() <= 50
+    shares = np.diff(sum(C.bucket_bounds(np.sort(keys), 4) for keys in received))
+    assert shares.max() < 1.5 * shares.mean()
 
 
 def test_attention_counts_all_training_text(spark, rows):
