@@ -87,6 +87,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The classifier's decisions can't be written in SQL; tests hold run()
-#: against a brute-force version of the other stages.
+#: The classifier's decisions can't be written in SQL. Tests cover the missing
+#: classifier and the near-duplicate stage, not run().
 ORACLE_SQL = None
