@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import (attention_lm, compression_quality, fingerprints, line_dedup, minhash, packing, phrase_dedup, pieces,
-               quality_rules, suffix_dedup)
+from . import (attention_lm, clustering, compression_quality, decontaminate, filter_audit, fingerprints, line_dedup, minhash, packing,
+               phrase_dedup, pieces, quality_rules, suffix_dedup)
 
 
 def tokenizer_file(spark: SparkSession, name: str) -> str:
@@ -85,6 +85,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(C.documents(spark, sf_dir))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.report(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +105,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_packing, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op7_attention_lm, op8_line_dedup, op9_suffix_dedup, op10_minhash, pipeline)
+    f.__name__: f for f in (op1_fingerprints, op2_packing, op3_quality_rules, op4_pieces, op5_phrase_dedup, op6_compression_quality, op7_attention_lm, op8_line_dedup, op9_suffix_dedup, op10_minhash, op11_decontaminate,
+                          op12_filter_audit, op13_clusters, pipeline)
 }
 
-ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE, "op11_decontaminate": decontaminate.ORACLE,
+                           "op12_filter_audit": filter_audit.ORACLE, "op13_clusters": clustering.ORACLE}
