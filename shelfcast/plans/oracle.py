@@ -80,3 +80,35 @@ fact AS (
 
 def q(body: str) -> str:
     return PANEL + body
+
+
+def q_recursive(body: str) -> str:
+    """``q`` for bodies with recursive parts."""
+    return "WITH RECURSIVE" + q(body).lstrip().removeprefix("WITH")
+
+
+def gram_sql(regressors: list[str]) -> list[tuple[str, str]]:
+    """(expression, name) of the sums that ``trend.gram_sums`` makes."""
+    out = []
+    for i, a in enumerate(regressors):
+        out += [(f"SUM({a} * {b})", f"xx_{a}_{b}") for b in regressors[i:]]
+        out.append((f"SUM({a} * y)", f"xy_{a}"))
+    return out
+
+
+def solve_sql(source: str, regressors: list[str], ridge: float, out: str) -> str:
+    """CTEs that solve the normal equations of each store in ``source``
+    (gram_sql columns) by Gauss-Jordan elimination; ``out`` has (store_id,
+    beta list)."""
+    n, place = len(regressors), {r: i for i, r in enumerate(regressors)}
+    xx = lambda a, b: f"xx_{a}_{b}" if place[a] <= place[b] else f"xx_{b}_{a}"
+    trace = " + ".join(xx(r, r) for r in regressors)
+    cell = lambda a, b: xx(a, b) + (f" + {ridge!r} * ({trace}) / {n}" if a == b else "")
+    matrix = ", ".join("[" + ", ".join([cell(a, b) for b in regressors] + [f"xy_{a}"]) + "]" for a in regressors)
+    return f"""{out}_step AS (
+  SELECT store_id, 1 AS k, [{matrix}] AS m FROM {source}
+  UNION ALL
+  SELECT store_id, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+                                                         ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END)
+  FROM {out}_step WHERE k <= {n}),
+{out} AS MATERIALIZED (SELECT store_id, list_transform(m, lambda r: r[{n + 1}]) AS beta FROM {out}_step WHERE k = {n + 1})"""

@@ -13,7 +13,7 @@ from ..session import scratch_path
 from . import forecast as FC
 from . import train as TRN
 from .catalog import register
-from .oracle import SNAP_OWN, q
+from .oracle import SNAP_OWN, gram_sql, q, q_recursive, solve_sql
 
 SNAP_CASE = SNAP_OWN
 
@@ -242,11 +242,7 @@ x AS (SELECT store_id, day_num, LN(1 + CAST(sales AS DOUBLE)) AS y, CAST(snap AS
       FROM sd WINDOW w AS (PARTITION BY store_id ORDER BY day_num)),
 xf AS (SELECT * FROM x WHERE y1 IS NOT NULL AND y7 IS NOT NULL AND y8 IS NOT NULL)
 """
-_GRAM_COLS = []
-for _i, _a in enumerate(TR.REGRESSORS):
-    for _b in TR.REGRESSORS[_i:]:
-        _GRAM_COLS.append((f"SUM({_a} * {_b})", f"xx_{_a}_{_b}"))
-    _GRAM_COLS.append((f"SUM({_a} * y)", f"xy_{_a}"))
+_GRAM_COLS = gram_sql(TR.REGRESSORS)
 
 
 @register("trend_gram", q(TREND_SQL + "SELECT store_id, " + ", ".join(f"{e} AS {n}" for e, n in _GRAM_COLS)
@@ -257,14 +253,61 @@ def trend_gram_q(p):
     return TR.gram_sums(TR.design(sd))
 
 
-@register("trend_arx", None)
+# The second regression: shocks from the long autoregression, their lags as regressors.
+_LONG_LAGS = ", ".join(f"LAG(y, {n}) OVER w AS {k}" for k, n in TR.LONG_LAGS.items() if k not in TR.LAGS)
+_SUMS = lambda names: ", ".join(f"{e} AS {n}" for e, n in gram_sql(names))
+_DOT = lambda names, beta: " + ".join(f"{beta}[{i + 1}] * {n}" for i, n in enumerate(names))
+SHOCK_SQL = TREND_SQL + f""",
+xl AS MATERIALIZED (
+  SELECT * FROM (SELECT *, {_LONG_LAGS} FROM x WINDOW w AS (PARTITION BY store_id ORDER BY day_num)) t
+  WHERE {" AND ".join(f"{k} IS NOT NULL" for k in TR.LONG_LAGS)}),
+gl AS (SELECT store_id, {_SUMS(TR.LONG_REGRESSORS)} FROM xl GROUP BY store_id),
+{solve_sql("gl", TR.LONG_REGRESSORS, TR.RIDGE, "long")},
+sh AS MATERIALIZED (SELECT xl.store_id, day_num, y - ({_DOT(TR.LONG_REGRESSORS, "beta")}) AS e FROM xl JOIN long USING (store_id)),
+xm AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT xf.*, {", ".join(f"LAG(e, {n}) OVER w AS {k}" for k, n in TR.SHOCKS.items())}
+    FROM xf LEFT JOIN sh USING (store_id, day_num) WINDOW w AS (PARTITION BY store_id ORDER BY day_num)) t
+  WHERE {" AND ".join(f"{k} IS NOT NULL" for k in TR.SHOCKS)}),
+gm AS (SELECT store_id, {_SUMS(TR.MODEL)}, CAST(COUNT(*) AS BIGINT) AS n_obs FROM xm GROUP BY store_id)
+"""
+
+ARMA_SQL = SHOCK_SQL + f""",
+{solve_sql("gm", TR.MODEL, TR.RIDGE, "model")},
+tail AS (SELECT x.store_id, list(y ORDER BY x.day_num) AS ys, list(e ORDER BY x.day_num) AS es, arg_max(x.snap, x.day_num) AS last_snap
+         FROM x LEFT JOIN sh USING (store_id, day_num) WHERE x.day_num > (SELECT hi FROM bounds) - {TR.TAIL} GROUP BY x.store_id),
+fc AS (
+  SELECT store_id, 0 AS h, ys, es, last_snap, beta FROM tail JOIN model USING (store_id)
+  UNION ALL
+  SELECT store_id, h + 1, list_append(ys, beta[1] + beta[2] * ys[-1] + beta[3] * ys[-7] + beta[4] * ys[-8] + beta[5] * last_snap
+                                          + beta[7] * es[-1] + beta[8] * es[-7] + beta[9] * es[-8]),
+         list_append(es, 0.0), last_snap, beta
+  FROM fc WHERE h < {TR.HORIZON}),
+forecast AS (SELECT store_id, CAST((SELECT hi FROM bounds) + h AS INTEGER) AS day_num, EXP(ys[-1]) - 1 AS store_trend, beta FROM fc WHERE h > 0)
+"""
+
+
+@register("trend_gram_ma", q_recursive(SHOCK_SQL + "SELECT * FROM gm"), rnd=tuple(n for _, n in gram_sql(TR.MODEL)), digits=3)
+def trend_gram_ma_q(p):
+    sd = store_day_agg(FC.history_with_snap(p)).checkpoint(eager=True)
+    return TR.gram_sums(TR.design_ma(sd, TR.shocks(sd)), regressors=TR.MODEL)
+
+
+_BETAS = [f"beta_{n}" for n in TR.MODEL]
+
+
+@register("trend_arx", q_recursive(ARMA_SQL + "SELECT store_id, day_num, store_trend, "
+                                   + ", ".join(f"beta[{i + 1}] AS {b}" for i, b in enumerate(_BETAS)) + " FROM forecast"),
+          rnd=("store_trend", *_BETAS), digits=4)
 def trend_arx_q(p):
     lo, hi = p.bounds
     sd = store_day_agg(FC.history_with_snap(p))
     return TR.fit_forecast(sd, hi)
 
 
-@register("trend_lookup", None)
+@register("trend_lookup", q_recursive(ARMA_SQL + f"""
+SELECT store_id, day_num, EXP({_DOT(TR.MODEL, "beta")}) - 1 AS store_trend FROM xm JOIN model USING (store_id)
+UNION ALL SELECT store_id, day_num, store_trend FROM forecast"""), rnd=("store_trend",), digits=3)
 def trend_lookup_q(p):
     lo, hi = p.bounds
     sd = store_day_agg(FC.history_with_snap(p))

@@ -31,6 +31,47 @@ def test_trend_recovers_ar_coefficients(spark):
     assert all(x.store_trend > 0 for x in fc)
 
 
+def _store_days(spark, rows, parts=4):
+    return spark.createDataFrame(rows, "store_id string, day_num int, sales double, snap int, is_event int").repartition(parts)
+
+
+def test_trend_recovers_moving_average(spark):
+    # ARMA totals with planted moving-average terms at lags 1 and 7.
+    rng = np.random.default_rng(11)
+    n, theta, seasonal, rows = 4000, 0.5, 0.3, []
+    for store in ["S1", "S2"]:
+        e = rng.normal(0, 0.1, n)
+        y = [6.0] * 8
+        for t in range(8, n):
+            shock = e[t] + theta * e[t - 1] + seasonal * e[t - 7] + theta * seasonal * e[t - 8]
+            y.append(2.4 + 0.3 * y[t - 1] + 0.3 * y[t - 7] + 0.15 * (t % 30 < 10) + shock)
+        rows += [(store, t + 1, float(np.expm1(v)), int(t % 30 < 10), 0) for t, v in enumerate(y)]
+    r = TR.fit_forecast(_store_days(spark, rows), n).first()
+    for name, want in {"e1": theta, "e7": seasonal, "e8": theta * seasonal, "y1": 0.3, "y7": 0.3, "snap": 0.15}.items():
+        assert abs(r[f"beta_{name}"] - want) < 0.05, (name, r[f"beta_{name}"])
+
+
+def test_known_regressors_move_the_forecast(spark):
+    # A planted SNAP effect in the held-out days: flags of those days, not the
+    # last one repeated; their sales must not matter.
+    rng = np.random.default_rng(2)
+    y, rows = [5.0] * 8, []
+    for t in range(8, 1000):
+        y.append(2.0 + 0.2 * y[t - 1] + 0.4 * y[t - 7] + 0.5 * (t % 20 < 10) + rng.normal(0, 0.02))
+    rows = [("S1", t + 1, float(np.expm1(v)), int(t % 20 < 10), 0) for t, v in enumerate(y)]
+    held = [(s, d, 1e9 if d > 972 else v, f, ev) for s, d, v, f, ev in rows]
+    plain = {r.day_num: r.store_trend for r in TR.trend_lookup(_store_days(spark, rows), 972).collect()}
+    known = {r.day_num: r.store_trend for r in TR.trend_lookup(_store_days(spark, rows), 972, known_future=True).collect()}
+    blind = {r.day_num: r.store_trend for r in TR.trend_lookup(_store_days(spark, held), 972, known_future=True).collect()}
+    days = range(973, 1001)
+    error = lambda f: np.mean([abs(np.log1p(f[d]) - y[d - 1]) for d in days])
+    assert error(known) < 0.1 < error(plain)
+    assert all(abs(known[d] - blind[d]) < 1e-6 * known[d] for d in days)
+    assert max(known) == 1000 and abs(known[900] - plain[900]) < 1e-6 * known[900]
+    actual = TR.trend_lookup(_store_days(spark, rows), 972, "actual").where("day_num > 972")
+    assert actual.count() == 28  # history is cut at the last training day
+
+
 def _poisson_frame(spark, n=4000, seed=1):
     rng = np.random.default_rng(seed)
     x1 = rng.uniform(0, 1, n)
