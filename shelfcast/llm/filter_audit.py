@@ -14,8 +14,9 @@ any smaller doc_id, in the whole table.
    counted with partial aggregation; texts of those documents alone meet. The
    right side is pre-aggregated to one row for each hash and exact text with
    its smallest doc_id, so a left semi join on hash, exact text and smaller
-   doc_id meets one row for each document, however many copies there are, and
-   adaptive execution can split a hash that many left rows share.
+   doc_id meets one row for each document, however many copies there are. A
+   hash of many copies is dealt over several salts, ``COPIES_PER_SALT`` left
+   rows each on average, and the right row stands once under each of them.
 3. The ids of E are united with those of the other failures (one bit a filter)
    and summed up to one bit combination for each document; combinations are
    counted by part, quality and toxic label: at most 128 rows a part.
@@ -45,6 +46,7 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Repeated hashes, eight bytes each, that a broadcast may hold; more are joined by a shuffle.
 BROADCAST_HASHES = 2_000_000
+COPIES_PER_SALT = 256
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
 
 
@@ -68,15 +70,17 @@ def failures(docs: DataFrame) -> DataFrame:
 def later_copies(docs: DataFrame, hashed: DataFrame) -> DataFrame:
     """(doc_id, hash, hash2) of documents whose text a smaller doc_id has.
     ``hashed``: the hash column of all documents."""
-    spark = docs.sparkSession
-    repeated, _ = stage_table(hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated-texts")
+    salts = F.floor(F.col("n") / COPIES_PER_SALT).cast("int") + 1
+    repeated, _ = stage_table(hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", salts.alias("salts")), "repeated-texts")
     if repeated.count() <= BROADCAST_HASHES:
         repeated = F.broadcast(repeated)
     texts = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", _text().alias("text")).withColumn("hash", F.xxhash64("text"))
-             .join(repeated, "hash", "left_semi"))
-    first = texts.groupBy("hash", "text").agg(F.min("doc_id").alias("first"))
-    left, right = texts.alias("l"), first.alias("r")
-    same = (F.col("l.hash") == F.col("r.hash")) & (F.col("l.text") == F.col("r.text")) & (F.col("r.first") < F.col("l.doc_id"))
+             .join(repeated, "hash"))
+    left = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), "salts").cast("int")).alias("l")
+    first = texts.groupBy("hash", "text").agg(F.min("doc_id").alias("first"), F.first("salts").alias("salts"))
+    right = first.select("hash", "text", "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).alias("r")
+    same = ((F.col("l.hash") == F.col("r.hash")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.text") == F.col("r.text"))
+            & (F.col("r.first") < F.col("l.doc_id")))
     return left.join(right, same, "left_semi").select("doc_id", "hash", F.xxhash64(F.lit(1), "text").alias("hash2"))
 
 

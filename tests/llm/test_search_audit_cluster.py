@@ -164,7 +164,7 @@ def audit_rows():
     rows = [(1, clean, "en"), (2, clean, "en"), (2, clean, "en"), (2, clean, "fr"), (3, None, None), (4, "", "en"), (5, " \x0b\n", ""), (6, text(400, 20), "de"),
             (7, "LOUD " * 210, "de"), (8, clean + " # x", "fr"), (None, clean, "en"), (None, "only here", "en"), (10, "only here", "en"), (11, text(5000), "fr"),
             (12, "É" + text(230), "x"), (12, "other text of this id", "x"), (13, hot + " |", "en"), (14, "Aa " * 100, "en"), (15, "ﬁ " * 200, "en")]
-    return rows + [(100 + i, hot, "en") for i in range(30)]
+    return rows + [(100 + i, hot, "en") for i in range(600)]
 
 
 LABELS = [(1, 1, 0), (2, 0, 1), (2, 1, 0), (6, None, 1), (8, 1, None), (100, 1, 0), (101, 1, 1), (None, 1, 1), (999, 1, 1)]
