@@ -61,6 +61,7 @@ class HistParams:
     rounds: int = 90
     learning_rate: float = 0.1
     num_leaves: int = 31
+    max_depth: int | None = None  # also bounds the passes of a round
     min_instances: int = 20
     min_hessian: float = 1e-3
     l2: float = 0.0
@@ -303,8 +304,9 @@ class _Pass:
 def _sums(blocks: DataFrame, tree: Tree, slots: np.ndarray, p: _Pass) -> np.ndarray:
     """[slot, feature, bin, 3] sums of gradient, hessian and rows; ``slots``:
     each node's slot, or -1."""
-    n_slots, cells = int(slots.max()) + 1, p.n_features * p.n_bins
-    size, direct = n_slots * cells, blocks.rdd.getNumPartitions() <= DIRECT_PARTITIONS
+    n_slots = int(slots.max()) + 1
+    cells = n_slots * p.n_bins  # of a feature
+    size, direct = p.n_features * cells, blocks.rdd.getNumPartitions() <= DIRECT_PARTITIONS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((3, size), np.int64)
@@ -317,13 +319,13 @@ def _sums(blocks: DataFrame, tree: Tree, slots: np.ndarray, p: _Pass) -> np.ndar
                 if not len(use):
                     continue
                 g, h = quantised(y[use], margin[use], p.power, p.scale)
-                start = slot[use].astype(np.int64) * cells
-                first, last = int(start.min()), int(start.max()) + cells
+                start = slot[use].astype(np.int64) * p.n_bins
                 for f in range(p.n_features):
-                    cell = start - first + f * p.n_bins + bins[f, use]
-                    total[0, first:last] += np.bincount(cell, g, last - first).astype(np.int64)
-                    total[1, first:last] += np.bincount(cell, h, last - first).astype(np.int64)
-                    total[2, first:last] += np.bincount(cell, minlength=last - first)
+                    cell = start + bins[f, use]
+                    part = total[:, f * cells:(f + 1) * cells]
+                    part[0] += np.bincount(cell, g, cells).astype(np.int64)
+                    part[1] += np.bincount(cell, h, cells).astype(np.int64)
+                    part[2] += np.bincount(cell, minlength=cells)
         at = np.flatnonzero(total[2])
         if direct:
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([at, *(t[at] for t in total)]).tobytes()], pa.binary())], names=["packed"])
@@ -338,7 +340,7 @@ def _sums(blocks: DataFrame, tree: Tree, slots: np.ndarray, p: _Pass) -> np.ndar
         parts = [np.stack([b[c].to_numpy() for c in ("cell", "g", "h", "n")]) for b in summed.toArrow().to_batches()]
     for part in parts:  # a cell occurs once in a part
         total[part[0]] += part[1:].T
-    return total.reshape(n_slots, p.n_features, p.n_bins, 3)
+    return total.reshape(p.n_features, n_slots, p.n_bins, 3).swapaxes(0, 1)
 
 
 def _advance(blocks: DataFrame, trees: list[Tree], p: _Pass) -> DataFrame:
@@ -369,6 +371,7 @@ def _advance(blocks: DataFrame, trees: list[Tree], p: _Pass) -> DataFrame:
 @dataclass
 class _Node:
     group: int
+    depth: int = 0
     sums: np.ndarray | None = None       # [feature, bin, 3] until its children have theirs
     total: tuple[float, float] = (0.0, 0.0)
     gain: float = 0.0
@@ -463,13 +466,14 @@ class _Grower:
                 node = self.nodes[i]
                 if not node.children:
                     node.children = [len(self.nodes), len(self.nodes) + 1]
-                    self.nodes += [_Node(node.group, total=t[:2]) for t in node.parts]
+                    self.nodes += [_Node(node.group, node.depth + 1, total=t[:2]) for t in node.parts]
                 split.add(i)
                 leaves += 1
                 for c in node.children:
                     if self.nodes[c].known and self.nodes[c].gain > 0:
                         heapq.heappush(heap, (-self.nodes[c].gain, c))
-                if not self.nodes[node.children[0]].known and leaves < self.params.num_leaves:
+                deepest = self.params.max_depth is not None and node.depth + 1 >= self.params.max_depth
+                if not self.nodes[node.children[0]].known and not deepest and leaves < self.params.num_leaves:
                     wanted.append(i)
         return split, wanted
 
@@ -620,6 +624,7 @@ def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], la
         blocks, old = held(_advance(blocks, model.trees, pas(0))), blocks
         blocks.count()
         old.unpersist()
+    spent = None  # the margins before, until something has read the new ones
     import time
     for r in range(len(model.trees), params.rounds):
         active = stop.active()
@@ -627,24 +632,28 @@ def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], la
             break
         began = time.time()
         tree, passes = _Grower(active, n_groups, n_bins, model.binner.is_categorical, params, pas(r)).grow(blocks)
-        after, old, dropped = _advance(blocks, [tree], pas(r)), blocks, None
+        if spent is not None:
+            spent.unpersist()
+        after, spent, dropped = _advance(blocks, [tree], pas(r)), blocks, None
         if (r + 1) % params.stage_every == 0:
             dropped = staged
             after, staged = stage_table(after, "boosting-margins")
         blocks = held(after)
-        # Reads every block, so the new margins are in place before the old ones go.
-        errors = blocks.select("block", F.explode_outer("errors").alias("e")).groupBy("e.grp").agg(F.sum("e.n").alias("n"), F.sum("e.sse").alias("sse")).collect()
-        old.unpersist()
+        if valid is not None:
+            errors = blocks.select(F.inline("errors")).groupBy("grp").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse")).collect()
         if dropped:
+            blocks.count()
             drop_path(spark, dropped)
         model.trees.append(tree)
         rec = {"round": r, "sec": round(time.time() - began, 3), "passes": passes, "leaves": int((tree.feature < 0).sum())}
         if valid is not None:
-            rmse = {e["grp"]: math.sqrt(e["sse"] / 256 / e["n"]) for e in errors if e["grp"] is not None}
+            rmse = {e["grp"]: math.sqrt(e["sse"] / 256 / e["n"]) for e in errors}
             rec["valid_rmse"] = [rmse.get(k) for k in range(n_groups)]
         history.append(rec)
         st.put(f"round-{r:05d}", json.dumps({**rec, "tree": tree.to_json()}))
         stop.see(r, rec.get("valid_rmse"))
+    if spent is not None:
+        spent.unpersist()
     blocks.unpersist()
     for path in [staged] if staged else []:
         drop_path(spark, path)

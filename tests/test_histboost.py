@@ -142,6 +142,16 @@ def test_many_partitions_shuffle_the_sums(spark, monkeypatch):
     assert text() == before
 
 
+def test_depth_bound(spark):
+    p = H.HistParams(rounds=1, num_leaves=31, max_depth=3, max_bins=15, min_instances=5)
+    res = H.fit(spark.createDataFrame(rows_of(2000, 2), SCHEMA), ["x1", "x2"], ["c"], "sales", p)
+    t = res.model.trees[0]
+    depth = {0: 0}
+    for i, pair in enumerate(t.children.tolist()):
+        depth |= {c: depth[i] + 1 for c in pair if c >= 0}
+    assert max(depth.values()) == 3 and (t.feature < 0).sum() == 8 and res.history[0]["passes"] == 3
+
+
 def test_missing_labels_and_empty_valid(spark):
     df = spark.createDataFrame([*rows_of(300, 1), (9999, 0.1, 0.1, "c1", "a", None)], SCHEMA)
     res = H.fit(df, ["x1"], ["c"], "sales", PARAMS, df.where("1 = 0"))
