@@ -76,11 +76,12 @@ def later_copies(docs: DataFrame, hashed: DataFrame) -> DataFrame:
         repeated = F.broadcast(repeated)
     texts = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", _text().alias("text")).withColumn("hash", F.xxhash64("text"))
              .join(repeated, "hash"))
-    left = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), "salts").cast("int")).alias("l")
+    # One column of hash and salt: rows can't be dealt by the hash alone.
+    left = texts.withColumn("salted", F.xxhash64("hash", F.pmod(F.xxhash64("doc_id"), "salts").cast("int"))).alias("l")
     first = texts.groupBy("hash", "text").agg(F.min("doc_id").alias("first"), F.first("salts").alias("salts"))
-    right = first.select("hash", "text", "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).alias("r")
-    same = ((F.col("l.hash") == F.col("r.hash")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.text") == F.col("r.text"))
-            & (F.col("r.first") < F.col("l.doc_id")))
+    right = (first.select("hash", "text", "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+             .select("text", "first", F.xxhash64("hash", "salt").alias("salted")).alias("r"))
+    same = (F.col("l.salted") == F.col("r.salted")) & (F.col("l.text") == F.col("r.text")) & (F.col("r.first") < F.col("l.doc_id"))
     return left.join(right, same, "left_semi").select("doc_id", "hash", F.xxhash64(F.lit(1), "text").alias("hash2"))
 
 
