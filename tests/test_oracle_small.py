@@ -7,8 +7,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from shelfcast.sources.tpch_panel import TABLES
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 FAST = ["row_count", "global_trend", "seasonality_weekday", "snap_effect", "zero_rate",
         "store_day_agg", "gap_summary", "histogram_sales", "price_kde", "features_all",
         "rmsse", "wrmsse", "submission", "pivot_horizon", "ordinal_encode", "trend_gram",
