@@ -19,6 +19,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import hash_bucket
 from ..operators import evaluate as EV
 from ..operators import histboost as H
 from ..operators import trend as TR
@@ -49,11 +50,15 @@ def state_path(panel: Panel, name: str, params: H.HistParams) -> str:
     return f"{checkpoint_dir(panel.spark).rstrip('/')}/fit-{name}-{key}"
 
 
-def global_frame(panel: Panel) -> tuple[DataFrame, list[str]]:
-    """Fact + features + split flag; returns the frame and the numeric features."""
+def global_frame(panel: Panel, one_in: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Fact + features + split flag; returns the frame and the numeric
+    features. ``one_in`` keeps whole series, one in so many by a hash of the id
+    (O-52: the reference trains and validates its global models on one in 20);
+    None keeps all."""
     lo, hi = panel.bounds
     checkpoint_dir(panel.spark)
-    f = series_features(panel.fact())
+    fact = panel.fact()
+    f = series_features(fact if one_in is None else fact.where(hash_bucket("id", one_in, "md5") == 0))
     f = fill_features(f, GLOBAL_NUMERIC)
     f = EV.time_split(f, hi)
     snaps = [snap_column(s) for s, _ in panel.states]
@@ -63,19 +68,19 @@ def global_frame(panel: Panel) -> tuple[DataFrame, list[str]]:
     return f.select("item_id", "day_num", "sales", "split", *GLOBAL_CATS, *numeric), numeric
 
 
-def global_fit(panel: Panel, params: H.HistParams, name: str = "global") -> tuple[H.HistResult, DataFrame]:
-    f, numeric = global_frame(panel)
+def global_fit(panel: Panel, params: H.HistParams, one_in: int | None = None) -> tuple[H.HistResult, DataFrame]:
+    f, numeric = global_frame(panel, one_in)
     # Materialise once in the shared checkpoint folder: binning, blocks and
     # scoring read this instead of re-running the scan, joins and windows.
     f = f.checkpoint(eager=True)
     train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
     res = H.fit(train, numeric, GLOBAL_CATS, "sales", params, valid=test if params.early_stopping_rounds else None,
-                state=state_path(panel, name, params))
+                state=state_path(panel, f"global-{one_in}", params))
     return res, test
 
 
-def global_backtest(panel: Panel, params: H.HistParams, name: str = "global") -> tuple[H.HistResult, DataFrame]:
-    res, test = global_fit(panel, params, name)
+def global_backtest(panel: Panel, params: H.HistParams, one_in: int | None = None) -> tuple[H.HistResult, DataFrame]:
+    res, test = global_fit(panel, params, one_in)
     return res, res.model.predict(test, "yhat").select("item_id", "store_id", "day_num", "sales", "yhat")
 
 
