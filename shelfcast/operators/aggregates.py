@@ -52,11 +52,11 @@ def category_balance(fact: DataFrame, by: str = "cat_id") -> DataFrame:
 # O-38 ----------------------------------------------------------------------
 def last_known_attrs(fact: DataFrame, attrs: Sequence[str], key: str = "id",
                      day: str = "day_num", last_day: int | None = None) -> DataFrame:
-    """Attributes of each series at its last observed day, one row per key.
-
-    With ``last_day`` known this is a filter plus a per-key ``max_by``
-    (deterministic even when the key is duplicated on that day)."""
-    src = fact if last_day is None else fact.where(F.col(day) == last_day)
+    """Attributes of each series at its own last observed day (up to
+    ``last_day``, if given), one row per key. A series that has no row on
+    ``last_day`` itself is there with its latest earlier one. ``max_by`` is
+    deterministic even when the key is duplicated on that day."""
+    src = fact if last_day is None else fact.where(F.col(day) <= last_day)
     packed = F.struct(*[F.col(a) for a in attrs])
     return (src.groupBy(key)
                .agg(F.max_by(packed, F.struct(F.col(day), packed)).alias("__a"))

@@ -142,6 +142,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
             nxt = cut(nxt, "boost-train")
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        nxt.count()  # in place before what it is made from goes
         data.unpersist()
         data = nxt
         rec = {"round": r + 1, "sec": round(time.time() - t0, 2)}
@@ -150,9 +151,9 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: BoostPara
                       .drop(f"__p{r}"))
             vn = cut(vn, "boost-valid") if (r + 1) % params.checkpoint_every == 0 \
                 else vn.persist(StorageLevel.MEMORY_AND_DISK)
+            rec["valid_rmse"] = _rmse(vn, "__y", "__m")
             vdata.unpersist()
             vdata = vn
-            rec["valid_rmse"] = _rmse(vdata, "__y", "__m")
             if rec["valid_rmse"] < best - 1e-12:
                 best, best_round, since_best = rec["valid_rmse"], r + 1, 0
             else:

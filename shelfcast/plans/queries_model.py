@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import encode as E
 from ..operators import evaluate as EV
 from ..operators import histboost as H
+from ..operators import sample as SM
 from ..operators import trend as TR
 from ..operators.aggregates import last_known_attrs, store_day_agg
 from ..session import scratch_path
@@ -377,6 +378,23 @@ def row_sample_q(p):
     return p.fact().where((F.col("sales") > 0) & (F.substring(key, 1, 2) < "1a")).select("id", "day_num", "sales")
 
 
+@register("sample_fixed", q("""
+SELECT id, day_num, sales FROM fact WHERE sales > 0
+ORDER BY md5(id || '|' || CAST(day_num AS VARCHAR)), id, day_num LIMIT 10000"""))
+def sample_fixed_q(p):
+    # The size is the feature: 10,000 of the non-zero rows, no more, no less.
+    return SM.fixed_size_sample(p.fact().where(F.col("sales") > 0).select("id", "day_num", "sales"), ["id", "day_num"], 10_000)
+
+
+@register("sample_department", q("""
+SELECT id, day_num, sell_price, sales FROM fact
+WHERE dept_id = 'DEPT_3' AND substr(md5(id || '|' || CAST(day_num AS VARCHAR)), 1, 8) < '028f5c29'"""))
+def sample_department_q(p):
+    # 1 % of one department's rows (price against sales).
+    dept = p.fact().where(F.col("dept_id") == "DEPT_3").select("id", "day_num", "sell_price", "sales")
+    return SM.fraction_sample(dept, ["id", "day_num"], 0.01)
+
+
 @register("join_trend", q(f""",
 sd AS (SELECT store_id, day_num, CAST(SUM(sales) AS DOUBLE) AS store_trend FROM fact GROUP BY 1, 2)
 SELECT f.id, f.day_num, f.sales, sd.store_trend

@@ -69,6 +69,33 @@ def scan_prices(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, PRICES_SCHEMA)
 
 
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """The header of a CSV file or folder, as its first row has it."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+REJECTED = "_rejected"
+
+
+def scan_wide_header(spark: SparkSession, path: str, day_pattern: str = r"^d_\d+$") -> DataFrame:
+    """Wide sales whose schema comes from the file's own header: the six ids
+    as strings and every day column as int, in the header's order, plus
+    ``_rejected``: the whole line where it does not fit (null elsewhere), so a
+    bad line is kept for a report and never turns into nulls unseen. Only
+    columns that a query reads are looked at, so read all of them with it. A
+    header that lacks an id or has a column of neither kind is an error."""
+    import re
+    names = csv_columns(spark, path)
+    odd = [c for c in names if c not in ID_FIELDS and not re.match(day_pattern, c)]
+    lacking = [c for c in ID_FIELDS if c not in names]
+    if odd or lacking or len(names) == len(ID_FIELDS):
+        raise ValueError(f"not a wide sales header: unknown {odd[:5]}, missing {lacking}")
+    schema = T.StructType([T.StructField(c, T.StringType() if c in ID_FIELDS else T.IntegerType(), True) for c in names]
+                          + [T.StructField(REJECTED, T.StringType(), True)])
+    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", REJECTED).csv(path))
+
+
 # O-4 / O-5 / O-6 --------------------------------------------------------------
 def write_fact(fact: DataFrame, path: str, partition_by: str | None = "store_id") -> None:
     w = fact.write.mode("overwrite")
@@ -131,6 +158,72 @@ def file_row_counts(spark: SparkSession, path: str) -> DataFrame:
                   .select("file_path", "folder", "rows", (F.col("own") + F.col("base")).alias("running_total")))
 
 
+def publish(write, spark: SparkSession, path: str) -> None:
+    """Runs ``write(folder)`` on a private folder beside ``path`` and puts that
+    in place by renames: a reader sees the old table or the new one, never a
+    part of either, and a failed write leaves the old one."""
+    import uuid
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    tag = uuid.uuid4().hex[:8]
+    final, fresh, old = (Path(x) for x in (path, f"{path}.new-{tag}", f"{path}.old-{tag}"))
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write(fresh.toString())
+        if fs.exists(final):
+            fs.rename(final, old)
+        if not fs.rename(fresh, final):
+            fs.rename(old, final)
+            raise OSError(f"could not publish {path}")
+        fs.delete(old, True)
+    finally:
+        fs.delete(fresh, True)
+
+
+MANIFEST = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("added", T.LongType())])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def keyed_append(spark: SparkSession, folder: str, table_path: str, keys: Sequence[str]) -> DataFrame:
+    """Appends a folder's part files to a table with a key (O-9), so that it
+    can be run again at any time. Returns the manifest: file_path, rows, added,
+    running_total (rows up to the file, in path order).
+
+    Files that ``<table>_manifest`` lists are not read again. Of the new
+    files' rows, one a key goes in, and none whose key the table has: the row
+    of the first file in path order (ties: the smallest row). The table is
+    written before the manifest; a run that dies in between is made good by the
+    next one, whose rows the key then holds back."""
+    manifest = f"{table_path}_manifest"
+    listed = spark.read.schema(MANIFEST).parquet(manifest) if _exists(spark, manifest) else spark.createDataFrame([], MANIFEST)
+    known = {r[0] for r in listed.select("file_path").collect()}  # as many as the listing below has
+    # The listing writes local paths as file:///x, the rows' metadata as file:/x.
+    files = sorted(f for f in spark.read.parquet(folder).inputFiles() if f.replace("file:///", "file:/", 1) not in known)
+    if files:
+        rows = spark.read.option("basePath", folder).parquet(*files).withColumn("__file", F.col("_metadata.file_path"))
+        names = [c for c in rows.columns if c != "__file"]
+        rest = F.struct(*[c for c in names if c not in keys]) if len(names) > len(keys) else F.lit(0)
+        fresh = rows
+        if _exists(spark, table_path):
+            fresh = rows.join(spark.read.parquet(table_path).select(*keys), list(keys), "left_anti")
+        first = fresh.groupBy(*keys).agg(F.min(F.struct(F.col("__file"), rest.alias("__rest"))).alias("__one"))
+        kept = first.select(*keys, *([F.col("__one.__rest.*")] if len(names) > len(keys) else []), F.col("__one.__file").alias("__file"))
+        # Staged: the table it is held against is the one it goes to.
+        from ..session import drop_path, stage_table
+        staged, staging = stage_table(kept, "keyed-append")
+        staged.select(*names).write.mode("append").parquet(table_path)
+        added = staged.groupBy(F.col("__file").alias("file_path")).agg(F.count(F.lit(1)).alias("added"))
+        counts = rows.groupBy(F.col("__file").alias("file_path")).agg(F.count(F.lit(1)).alias("rows"))
+        counts.join(added, "file_path", "left").select("file_path", "rows", F.coalesce("added", F.lit(0).cast("bigint")).alias("added")).write.mode("append").parquet(manifest)
+        drop_path(spark, staging)
+    whole = spark.read.schema(MANIFEST).parquet(manifest) if _exists(spark, manifest) else listed
+    # One row a file: the running total is a window over file names, not over rows.
+    return whole.withColumn("running_total", F.sum("rows").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, 0)))
+
+
 # O-11 -----------------------------------------------------------------------
 def largest_table(tables: dict[str, DataFrame], exclude_like: str | None = None) -> DataFrame:
     """Row count of every table, biggest first; raises when no table has rows.
@@ -149,6 +242,29 @@ def largest_table(tables: dict[str, DataFrame], exclude_like: str | None = None)
     return out.where(F.col("rows") > 0).orderBy(F.desc("rows"), "table_name").limit(1)
 
 
+def copy_largest(spark: SparkSession, path: str, database: str | None = None, names_like: str | None = None,
+                 exclude_like: str = "sqlite_%") -> DataFrame:
+    """Chooses among the session catalog's tables and views (O-11): of those
+    ``names_like`` (a pattern of ``listTables``) that are not LIKE
+    ``exclude_like``, the one with most rows, which is copied to ``path`` as
+    Snappy Parquet (O-8). Returns table_name, rows, rows_copied; tables that
+    can't be read are passed over, as are empty ones."""
+    tables = {}
+    for t in spark.catalog.listTables(database, names_like):
+        name = ".".join([*(t.namespace or []), t.name])
+        try:
+            tables[name] = spark.table(name)
+        except Exception as e:  # a view on a table that is gone
+            if "AnalysisException" not in type(e).__name__ and "AnalysisException" not in str(type(e).__mro__):
+                raise
+    best = largest_table(tables, exclude_like).first()
+    if best is None:
+        raise ValueError("no table with rows")
+    publish(lambda folder: write_parquet_snappy(spark.table(best["table_name"]), folder), spark, path)
+    copied = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_copied"))
+    return copied.select(F.lit(best["table_name"]).alias("table_name"), F.lit(best["rows"]).cast("bigint").alias("rows"), "rows_copied")
+
+
 # O-12 -----------------------------------------------------------------------
 def write_submission_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Headered CSV, no index column. ``single_file`` coalesces to one part
