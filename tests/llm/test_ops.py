@@ -287,3 +287,36 @@ def test_attention_counts_all_training_text(spark, rows):
         total = np.bincount(model.cls, weights=np.append(want, 5), minlength=A.CLASSES)
         size = np.bincount(model.cls, minlength=A.CLASSES)
         assert np.allclose(10.0 ** model.within, (np.append(want, 5) + 0.1) / (total + 0.1 * size)[model.cls], rtol=1e-4)
+
+
+def crafted(length):
+    """Two words of letters that a polynomial hash modulo 2**64 can't tell apart."""
+    word = "a"
+    while len(word) < length:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_crafted_words_are_not_equal(spark, length):
+    from shelfcast.llm.minhash import near_duplicates
+    from shelfcast.llm.phrase_dedup import dedup_passages
+    x, y = crafted(length)
+    tail = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{x} {tail}"), (2, f"{y} {tail}"), (3, f"{x} k"), (4, f"{y} k"), (5, f"{x} {tail}"), (6, f"{y} k")]
+    same(dedup_passages(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256"), brute.op5(rows))
+    same(near_duplicates(frame(spark, rows)), brute.op10(rows))
+
+
+def test_word_hashes_by_run(spark):
+    import numpy as np
+
+    from shelfcast.llm import common as C
+    texts = ["one two two", "three", "", "one", "\u00e9\u00e9 x" * 40]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    starts, ends, _ = C.word_spans(data, offsets)
+    whole = C.word_hashes(data, starts, ends)
+    words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    assert all((whole[i] == whole[j]) == (words[i] == words[j]) for i in range(len(words)) for j in range(len(words)))
+    assert (C.word_hashes(data, starts, ends, run=7) == whole).all() and len(words) > 40
