@@ -56,6 +56,36 @@ def _path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def verify_files(spark: SparkSession, path: str) -> DataFrame:
+    """Every Parquet file under ``path`` on its own: file_path, bytes,
+    footer_rows (what its footer says), decoded_rows (rows of which every
+    column could be decoded), non_null_cells and status: ``ok``, ``damaged``
+    (fewer rows than the footer says) or ``unreadable`` (no footer).
+
+    Two scans by file, one without columns (answered from the footers) and one
+    of all columns; unreadable parts are passed over, so the other files are
+    still counted. Files are listed apart from the scans, so none is missed."""
+    skip = spark.read.option("ignoreCorruptFiles", True)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+                   .select(F.col("path").alias("file_path"), F.col("length").alias("bytes")))
+    df = skip.parquet(path)
+    file = F.col("_metadata.file_path").alias("file_path")
+    footers = skip.schema(df.schema).parquet(path).groupBy(file).agg(F.count(F.lit(1)).alias("footer_rows"))
+    cells = [F.count(F.col(f"`{c}`")).cast("bigint") for c in df.columns]
+    decoded = skip.schema(df.schema).parquet(path).groupBy(file).agg(F.count(F.lit(1)).alias("decoded_rows"), sum(cells[1:], cells[0]).alias("non_null_cells"))
+    out = listed.join(footers, "file_path", "left").join(decoded, "file_path", "left").checkpoint(eager=True)
+    # Neither scan shows a file without rows; is it empty or unreadable?
+    for r in out.where(F.col("footer_rows").isNull()).select("file_path").collect():
+        try:
+            spark.read.option("ignoreCorruptFiles", False).parquet(r["file_path"])
+        except Exception:
+            continue
+        out = out.withColumn("footer_rows", F.when(F.col("file_path") == r["file_path"], 0).otherwise(F.col("footer_rows")))
+    rows = F.coalesce("decoded_rows", F.lit(0).cast("bigint"))
+    status = F.when(F.col("footer_rows").isNull(), "unreadable").when(F.col("footer_rows") > rows, "damaged").otherwise("ok")
+    return out.select("file_path", "bytes", "footer_rows", rows.alias("decoded_rows"), F.coalesce("non_null_cells", F.lit(0).cast("bigint")).alias("non_null_cells"), status.alias("status"))
+
+
 # O-66 -----------------------------------------------------------------------
 def row_conservation(long: DataFrame, series_keys: Sequence[str], day: str = "d",
                      written: DataFrame | None = None) -> DataFrame:

@@ -213,6 +213,18 @@ def dq_file_verify_q(p):
     return Q.file_verify(p.spark, path).select("size_warning", "n_columns", "rows", "non_null_cells")
 
 
+@register("dq_verify_files", q(f"""
+SELECT store_id AS part, CAST(COUNT(*) AS BIGINT) AS footer_rows, CAST(COUNT(*) AS BIGINT) AS decoded_rows,
+       CAST({' + '.join(f'COUNT({c})' for c in FACT_COLS)} AS BIGINT) AS non_null_cells, CAST(0 AS BIGINT) AS n_bad
+FROM fact GROUP BY store_id"""))
+def dq_verify_files_q(p):
+    # File by file, rolled up to the store folders (file names are random).
+    per_file = Q.verify_files(p.spark, _written_fact(p))
+    total = lambda c: F.sum(c).cast("bigint").alias(c)
+    return (per_file.groupBy(F.regexp_extract("file_path", r"store_id=([^/]+)", 1).alias("part"))
+                    .agg(total("footer_rows"), total("decoded_rows"), total("non_null_cells"), F.count_if(F.col("status") != "ok").alias("n_bad")))
+
+
 @register("dq_row_conservation", q("""
 SELECT CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT (item_id, store_id)) AS BIGINT) AS n_series,
        CAST(COUNT(DISTINCT d) AS BIGINT) AS n_days,

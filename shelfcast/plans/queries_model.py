@@ -91,23 +91,23 @@ val AS (SELECT item_id, store_id, SUM(CAST(sales AS DOUBLE) * COALESCE(sell_pric
 
 
 def _rmsse(p):
-    s, hi = _naive_split(p)
-    return EV.rmsse(s.where(F.col("split") == "train"), s.where(F.col("split") == "test")), s, hi
+    lo, hi = p.bounds
+    f = p.fact().select("item_id", "store_id", "day_num", "sales", "sell_price")
+    return EV.scaled_errors(EV.naive_forecast(f), hi - 28)
 
 
 @register("rmsse", q(RMSSE_SQL + "SELECT item_id, store_id, rmsse, scale, n_test FROM rs"),
           rnd=("rmsse", "scale"))
 def rmsse_q(p):
-    return _rmsse(p)[0]
+    return _rmsse(p).drop("value")
 
 
 @register("wrmsse", q(RMSSE_SQL + """
 SELECT SUM(v.value * rs.rmsse) / SUM(v.value) AS wrmsse, CAST(COUNT(*) AS BIGINT) AS n_series
 FROM rs JOIN val v USING (item_id, store_id) WHERE rs.rmsse IS NOT NULL"""), rnd=("wrmsse",))
 def wrmsse_q(p):
-    r, s, hi = _rmsse(p)
-    w = EV.value_weights(s.where(F.col("split") == "train"), hi - 28, share=False)
-    return EV.wrmsse(r, w)
+    r = _rmsse(p).where(F.col("rmsse").isNotNull() & F.col("value").isNotNull())
+    return r.agg(F.try_divide(F.sum(F.col("value") * F.col("rmsse")), F.sum("value")).alias("wrmsse"), F.count(F.lit(1)).alias("n_series"))
 
 
 # ----------------------------------------------------------- forecast frame

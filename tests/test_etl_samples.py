@@ -113,3 +113,41 @@ def test_copy_largest_of_the_catalog(spark, tmp_path):
     assert spark.read.parquet(path).count() == 50 and any(f.endswith(".snappy.parquet") for f in os.listdir(path))
     with pytest.raises(ValueError):
         IO.copy_largest(spark, path, names_like="pick_none")
+
+
+def test_damaged_files_are_named_and_the_others_counted(spark, tmp_path):
+    from shelfcast.operators.quality import verify_files
+    path = tmp_path / "t"
+    spark.range(4000).withColumn("x", F.rand(1)).repartition(4).write.parquet(str(path))
+    spark.range(0).withColumn("x", F.rand(1)).coalesce(1).write.mode("append").parquet(str(path))
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    full = [f for f in files if spark.read.parquet(str(path / f)).count()]
+    for f in files:
+        (path / f".{f}.crc").unlink(missing_ok=True)
+    pages, footer = path / full[0], path / full[1]
+    data = bytearray(pages.read_bytes())
+    data[4:len(data) // 2] = bytes(len(data) // 2 - 4)
+    pages.write_bytes(data)
+    footer.write_bytes(footer.read_bytes()[:-40])
+    out = {os.path.basename(r.file_path): r for r in verify_files(spark, str(path)).collect()}
+    assert sorted(out) == files
+    assert {f: out[f].status for f in files} == {f: {full[0]: "damaged", full[1]: "unreadable"}.get(f, "ok") for f in files}
+    assert sum(out[f].decoded_rows for f in full[2:]) == 2000 and out[full[2]].non_null_cells == 2 * out[full[2]].decoded_rows
+
+
+def test_narrow_types(spark):
+    from shelfcast.operators.reshape import narrow_types
+    df = spark.sql("SELECT 1.5D AS a, 2L AS b, 'x' AS c, CAST(3 AS FLOAT) AS d, 4 AS e")
+    assert narrow_types(df, widen=["d"]).dtypes == [("a", "float"), ("b", "int"), ("c", "string"), ("d", "double"), ("e", "int")]
+    assert narrow_types(df, mapping={"int": "smallint"}).dtypes[4] == ("e", "smallint")
+
+
+def test_scaled_errors_equal_the_split_form(spark):
+    from shelfcast.operators import evaluate as EV
+    rows = [(i, "S", d, (d * (3 if i == "A" else 7)) % 11 if i != "C" else 2, 1.0 + d % 3 if d % 5 else None) for i in "ABC" for d in range(1, 101) if (i, d) != ("B", 90)]
+    f = EV.naive_forecast(spark.createDataFrame(rows, "item_id string, store_id string, day_num int, sales int, sell_price double"))
+    s = EV.time_split(f, 100)
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    want = EV.rmsse(train, test).join(EV.value_weights(train, 72, share=False), ["item_id", "store_id"])
+    key = lambda df: sorted((r.item_id, r.rmsse and round(r.rmsse, 9), round(r.scale, 9), r.n_test, round(r.value, 6)) for r in df.collect())
+    assert key(EV.scaled_errors(f, 72)) == key(want)
