@@ -78,13 +78,16 @@ def store_day_agg(fact: DataFrame, snap: str = "snap", store: str = "store_id",
     """Per store and day: total units, the day's SNAP flag and event.
 
     Snap and event are functions of (state, day), so ``max`` equals the
-    reference's first non-null value and is order-independent."""
+    reference's first non-null value and is order-independent. A maximum of
+    strings can't be kept in a hash table's buffer, so the rows are first summed
+    with the event as a key; the maximum is then taken over one row or two."""
     from ..functions import event_flag
-    return (fact.groupBy(store, day)
-                .agg(F.sum(sales).cast("bigint").alias("sales"),
-                     F.max(snap).alias("snap"),
-                     F.max(event).alias("event_name_1"))
-                .withColumn("is_event", event_flag("event_name_1")))
+    by_event = fact.groupBy(store, day, event).agg(F.sum(sales).alias("sales"), F.max(snap).alias("snap"))
+    return (by_event.groupBy(store, day)
+                    .agg(F.sum("sales").cast("bigint").alias("sales"),
+                         F.max("snap").alias("snap"),
+                         F.max(event).alias("event_name_1"))
+                    .withColumn("is_event", event_flag("event_name_1")))
 
 
 # O-41 ----------------------------------------------------------------------

@@ -405,6 +405,6 @@ def join_trend_q(p):
     from ..operators.joins import join_trend
     f = p.fact()
     sd = store_day_agg(FC.history_with_snap(p)).select(
-        "store_id", "day_num", F.col("sales").cast("double").alias("store_trend"))
-    lo, hi = p.bounds
+        "store_id", "day_num", F.col("sales").cast("double").alias("store_trend")).checkpoint(eager=True)
+    # (counted and joined: a row per store and day, computed once)
     return join_trend(f, sd, trend_rows=None).select("id", "day_num", "sales", "store_trend")

@@ -97,6 +97,7 @@ def hybrid_frame(panel: Panel, trend_mode: str = "fitted", last_day: int | None
     last = hi if last_day is None else last_day
     hist = FC.history_with_snap(panel)
     trend = TR.trend_lookup(store_day_agg(hist), last, trend_mode, HORIZON, known_future=last < hi)
+    trend = trend.checkpoint(eager=True)  # a row per store and day, counted and joined
     if last < hi:
         ext = hist.where(F.col("day_num") <= last + HORIZON).withColumns({c: F.coalesce(c, F.lit("NoEvent")) for c in ("event_name_1", "event_type_1")})
     else:

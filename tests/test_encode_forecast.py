@@ -13,6 +13,17 @@ def test_ordinal_unseen_and_null(spark):
     assert got == {None: 0, "a": 1, "b": 2, "zz": -1}
 
 
+def test_ordinal_numbers_over_ranges(spark):
+    import random
+    values = [f"v{i:04d}" for i in range(700)] + [None]
+    rows = [(v, f"x{i % 3}") for i, v in enumerate(values * 2)]
+    random.Random(1).shuffle(rows)
+    maps = E.fit_ordinal(spark.createDataFrame(rows, "a string, b string").repartition(5), ["a", "b"])
+    got = {r.value: r.code for r in maps["a"].collect()}
+    assert got == {v: i for i, v in enumerate([None, *values[:-1]])}
+    assert {r.value: r.code for r in maps["b"].collect()} == {"x0": 0, "x1": 1, "x2": 2} and maps.n_values == 704
+
+
 def test_future_rows(spark):
     hist = spark.createDataFrame(
         [("A_S", "A", "D", "C", "S", "ST", 9.5, 1, d, 2, "x", None, None) for d in range(1, 41)],
