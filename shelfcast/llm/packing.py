@@ -61,14 +61,24 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer)
-        self.model.encode_special_tokens = True
         self.table: dict[str, bytes] = {}
         self.table_size = table_size
+        # Added tokens are taken out of a text before anything else is looked at.
+        added = [t["content"] for t in json.loads(tokenizer).get("added_tokens", [])]
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
+    def units(self, text: str) -> list[str]:
+        if self.added is None or self.added.search(text) is None:
+            return _UNITS(text)
+        out = []
+        for i, part in enumerate(self.added.split(text)):
+            out += [part] if i % 2 else _UNITS(part)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.table) > self.table_size:
             self.table.clear()
-        units = [_UNITS(t) for t in texts]
+        units = [self.units(t) for t in texts]
         new = list(set().union(*units) - self.table.keys()) if units else []
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
@@ -192,12 +202,11 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, size: int) -> list[tuple[t
     return [(content, n) for b in bins.values() for content, n in b.items()]
 
 
-def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (lengths) and how many sequences have each; together
-    they hold exactly the histogram."""
-    lengths = np.array(sorted(histogram), np.int64)
-    rest = np.array([histogram[int(x)] for x in lengths], np.int64)
-    out: list[tuple[tuple[int, ...], int]] = []
+def rounded(lengths: np.ndarray, counts: np.ndarray, size: int, least: int) -> list[tuple[tuple[int, ...], int]]:
+    """The program's configurations of at least ``least`` tokens, as often as
+    it takes them, rounded down; ``PASSES`` times, each on what the pass before
+    has left; best fit places the rest."""
+    rest, out = counts.copy(), []
     for _ in range(PASSES):
         there = rest > 0
         if not there.any():
@@ -207,8 +216,7 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, .
             full = np.zeros(len(lengths), np.int64)
             full[there] = config
             used = full > 0
-            # Only well-filled configurations; what a poor one holds may fit elsewhere.
-            n = min(int(times + 1e-9), int((rest[used] // full[used]).min())) if full @ lengths >= size - 1 else 0
+            n = min(int(times + 1e-9), int((rest[used] // full[used]).min())) if full @ lengths >= least else 0
             if n > 0:
                 rest -= full * n
                 placed += n
@@ -219,6 +227,20 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, .
     return out + best_fit(lengths[there], rest[there], size)
 
 
+def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations (lengths) and how many sequences have each; together
+    they hold exactly the histogram.
+
+    Taking every configuration of the program is best where few lengths make
+    up the table; where many do, what a poorly filled one holds may fit
+    elsewhere. So the program is rounded with several bounds on the filling,
+    and the plan of fewest sequences is taken, best fit alone among them."""
+    lengths = np.array(sorted(histogram), np.int64)
+    counts = np.array([histogram[int(x)] for x in lengths], np.int64)
+    plans = [rounded(lengths, counts, size, least) for least in (0, size - size // 16, size - 1)]
+    return min([*plans, best_fit(lengths, counts, size)], key=lambda p: sum(n for _, n in p))
+
+
 def ranges(configurations: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:
     """By length: first ranks, first sequence ids and offsets of the plan."""
     rank: dict[int, int] = {}

@@ -170,7 +170,6 @@ def op2_pieces(rows, size=1024, end_id=2):
     import public_tokenizers
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     out = []
     for d, text in rows:
         ids = t.encode(text or "", add_special_tokens=False).ids + [end_id]

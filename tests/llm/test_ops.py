@@ -320,3 +320,37 @@ def test_word_hashes_by_run(spark):
     words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
     assert all((whole[i] == whole[j]) == (words[i] == words[j]) for i in range(len(words)) for j in range(len(words)))
     assert (C.word_hashes(data, starts, ends, run=7) == whole).all() and len(words) > 40
+
+
+def test_added_tokens_are_the_librarys(spark):
+    import public_tokenizers
+
+    from shelfcast.llm import packing
+    tokenizer = packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    rows = [(1, "<|endoftext|>"), (2, "a b<|endoftext|> c  <|endoftext|><|endoftext|>d'll"), (3, "<|endoftext|"), (4, "x <|endoftext|> " * 300)]
+    out = packing.pieces(frame(spark, rows), tokenizer).select("doc_id", "piece", "start", "length", "ids_crc32")
+    same(out, brute.op2_pieces(rows))
+
+
+def test_packing_takes_the_programs_configurations():
+    import random
+
+    from shelfcast.llm import packing
+    n = lambda p: sum(k for _, k in p)
+    rng = random.Random(3)
+    cases = [{500: 1000, 300: 1000, 210: 1000}, {400: 3000, 333: 3000, 280: 3000}, {1024: 5}, {1: 7}, {513: 40, 512: 41, 511: 40}]
+    cases += [{rng.randint(1, 1024): rng.randint(1, 50) for _ in range(rng.randint(1, 60))} for _ in range(6)]
+    for i, histogram in enumerate(cases):
+        lengths, counts = packing.np.array(sorted(histogram)), packing.np.array([histogram[x] for x in sorted(histogram)])
+        found, plain = packing.plan(histogram), n(packing.best_fit(lengths, counts, 1024))
+        have = {}
+        for content, k in found:
+            assert sum(content) <= 1024 and k > 0
+            for x in content:
+                have[x] = have.get(x, 0) + k
+        assert have == histogram and n(found) <= plain
+        assert n(found) >= -(-sum(x * c for x, c in histogram.items()) // 1024)
+        if i == 0:
+            assert n(found) == 1000 < plain
+        if i == 1:
+            assert n(found) < 3200 < plain
