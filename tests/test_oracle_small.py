@@ -12,7 +12,8 @@ from shelfcast.sources.tpch_panel import TABLES
 FAST = ["row_count", "global_trend", "seasonality_weekday", "snap_effect", "zero_rate",
         "store_day_agg", "gap_summary", "histogram_sales", "price_kde", "features_all",
         "rmsse", "wrmsse", "submission", "pivot_horizon", "ordinal_encode", "trend_gram",
-        "dq_duplicate_lines", "largest_table", "etl_flagship", "gap_summary_item_mixed", "const_columns"]
+        "dq_duplicate_lines", "largest_table", "etl_flagship", "gap_summary_item_mixed", "const_columns",
+        "trend_gram_ma", "trend_arx", "table_append_keyed", "dq_verify_files", "copy_largest", "sample_department"]
 
 
 def _norm(v):
