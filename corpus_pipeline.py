@@ -3,8 +3,8 @@
 STAGES run in order; each gets all that its predecessor kept, is written as
 Parquet in the shared checkpoint folder and reread by the next. All but the
 last return the columns of ``documents`` (doc_id, text, lang, source, n_chars).
-The column n_chars follows the text where a stage changes it. Empty tables
-pass through; nulls and repeated rows are treated as each operator says.
+The column n_chars follows the text where a stage changes it. Further columns
+are dropped by the first stage. Empty tables pass through; nulls and repeated rows are treated as each operator says.
 """
 
 from __future__ import annotations
@@ -87,6 +87,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The classifier's decisions can't be written in SQL. Tests cover the missing
-#: classifier and the near-duplicate stage, not run().
+#: The classifier's decisions can't be written in SQL. A test takes them as they
+#: are and holds run() against brute-force versions of the other stages.
 ORACLE_SQL = None
