@@ -10,27 +10,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we are willing to ship to every executor (rows).
+# Largest side we are willing to ship to every executor: rows and bytes.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 256 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: strings as long as they are, nested ones as JSON."""
+    total = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("array", "map", "struct"):
+            c = F.to_json(F.struct(c))
+        total = total + (8 if kind not in ("string", "binary", "array", "map", "struct") else F.coalesce(F.octet_length(c), F.lit(0)) + 16)
+    return total
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the side is proven small.
+    """Broadcast hint only when the side is proven small, in rows and bytes.
 
     ``known_rows`` lets callers pass a bound they already know (for example
-    the number of calendar days); otherwise a ``limit(max_rows + 1).count()``
-    job checks it, which stops reading as soon as the limit is crossed.
-    The limit defaults to ``spark.shelfcast.broadcastRowLimit`` (2,000,000).
+    the number of calendar days), strings then count 64 bytes each; otherwise
+    one job over ``limit(max_rows + 1)`` counts rows and measures their values,
+    which stops reading as soon as the limit is crossed. The limits default to
+    ``spark.shelfcast.broadcastRowLimit`` (2,000,000) and
+    ``spark.shelfcast.broadcastByteLimit`` (256 MB).
     """
+    conf = df.sparkSession.conf
     if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get("spark.shelfcast.broadcastRowLimit",
-                                                str(BROADCAST_ROW_LIMIT)))
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        max_rows = int(conf.get("spark.shelfcast.broadcastRowLimit", str(BROADCAST_ROW_LIMIT)))
+    max_bytes = int(conf.get("spark.shelfcast.broadcastByteLimit", str(BROADCAST_BYTE_LIMIT)))
+    if known_rows is None:
+        n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    else:
+        n, size = known_rows, known_rows * sum(64 if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema.fields)
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 # O-28 ----------------------------------------------------------------------

@@ -93,7 +93,7 @@ def csv_to_parquet(spark: SparkSession, sales: str, calendar: str, prices: str,
     bad = raw.where(F.col(IO.REJECTED).isNotNull()).withColumnRenamed(IO.REJECTED, "line")
     IO.publish(bad.write.mode("overwrite").parquet, spark, f"{out}_rejects")
     IO.publish(lambda folder: IO.write_fact(fact, folder), spark, out)
-    return IO.scan_fact(spark, out)
+    return IO.scan_fact(spark, out, fact.schema)
 
 
 def etl_flagship(panel: Panel) -> DataFrame:

@@ -21,17 +21,14 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
-
-# Settings the panel jobs need regardless of the session default: joins on
-# (series key, day) or (series key, week) may reuse a partitioning on the
-# series key alone. Safe here because, after aggregation to one row per
-# series and day, no series holds more rows than there are days.
-_REQUIRED = {
+    # Joins on (series key, day) or (series key, week) may reuse a partitioning
+    # on the series key alone. Safe for the panel because, after aggregation to
+    # one row per series and day, no series holds more rows than there are days.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "shelfcast") -> SparkSession:
     """Create (or fetch) a session for local runs and tests."""
@@ -55,8 +52,6 @@ def ensure_defaults(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    for k, v in _REQUIRED.items():
-        spark.conf.set(k, v)
     checkpoint_dir(spark)
 
 

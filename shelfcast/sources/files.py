@@ -104,8 +104,10 @@ def write_fact(fact: DataFrame, path: str, partition_by: str | None = "store_id"
     w.parquet(path)
 
 
-def scan_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def scan_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The written fact; with its ``schema`` a store named like a number stays
+    a string, where the folder name alone would make it one."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
 SLICE_COLUMNS = ["id", "item_id", "dept_id", "cat_id", "store_id", "d", "sales", "sell_price",

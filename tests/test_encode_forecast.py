@@ -24,6 +24,19 @@ def test_ordinal_numbers_over_ranges(spark):
     assert {r.value: r.code for r in maps["b"].collect()} == {"x0": 0, "x1": 1, "x2": 2} and maps.n_values == 704
 
 
+def test_broadcast_is_bounded_in_bytes(spark):
+    from shelfcast.operators.joins import bounded_broadcast
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("text"), F.array("id").alias("a"))
+    assert hinted(bounded_broadcast(wide)) and not hinted(bounded_broadcast(wide, max_rows=99))
+    spark.conf.set("spark.shelfcast.broadcastByteLimit", "900000")
+    try:
+        assert not hinted(bounded_broadcast(wide)) and hinted(bounded_broadcast(wide.select("id")))
+        assert not hinted(bounded_broadcast(wide, known_rows=20_000)) and hinted(bounded_broadcast(wide, known_rows=100))
+    finally:
+        spark.conf.unset("spark.shelfcast.broadcastByteLimit")
+
+
 def test_future_rows(spark):
     hist = spark.createDataFrame(
         [("A_S", "A", "D", "C", "S", "ST", 9.5, 1, d, 2, "x", None, None) for d in range(1, 41)],

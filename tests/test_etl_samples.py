@@ -23,12 +23,13 @@ CALENDAR = "date,wm_yr_wk,weekday,wday,month,year,d,event_name_1,event_type_1,ev
 def test_csv_to_parquet_chain(spark, tmp_path):
     # Day columns in the header's own order and number; one bad line.
     sales = _put(tmp_path / "sales.csv", "id,item_id,dept_id,cat_id,store_id,state_id,d_2,d_1",
-                 "a_S,a,D,C,S,T,5,4", "b_S,b,D,C,S,T,many,1", "c_U,c,D,C,U,T,,0")
+                 "a_S,a,D,C,S,T,5,4", "b_S,b,D,C,S,T,many,1", "c_U,c,D,C,007,T,,0")
     cal = _put(tmp_path / "calendar.csv", CALENDAR, "2011-01-29,1,Saturday,1,1,2011,d_1,,,,,1", "2011-01-30,1,Sunday,2,1,2011,d_2,Feast,Cultural,,,0")
     prices = _put(tmp_path / "prices.csv", "store_id,item_id,wm_yr_wk,sell_price", "S,a,1,2.5")
     out = str(tmp_path / "fact")
     for _ in range(2):  # published over itself
         fact = etl.csv_to_parquet(spark, sales, cal, prices, out)
+        assert {r.store_id for r in fact.collect()} == {"S", "007"}  # the folder's name is no number
         rows = {(r.id, r.d): (r.sales, r.sell_price, r.event_name_1, r.snap_CA, r.day_num) for r in fact.collect()}
         assert rows == {("a_S", "d_1"): (4, 2.5, None, 1, 1), ("a_S", "d_2"): (5, 2.5, "Feast", 0, 2),
                         ("c_U", "d_1"): (0, None, None, 1, 1), ("c_U", "d_2"): (None, None, "Feast", 0, 2)}
