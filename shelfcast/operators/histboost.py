@@ -567,6 +567,40 @@ class HistResult:
     state: str
 
 
+def _settings(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, params: HistParams, group: str | None) -> dict:
+    """Bins, groups with their margins before the first tree, and the scale."""
+    y = F.col(label).cast("double")
+    by = F.coalesce(F.col(group).cast("string"), F.lit(_NULL)) if group else F.lit("")
+    stats = train.where(y.isNotNull()).groupBy(by.alias("g")).agg(F.avg(y).alias("mean"), F.count(y).alias("n"), F.max(y).alias("top")).orderBy("g").limit(MAX_GROUPS + 1).collect()
+    if len(stats) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups in one fit: fit them in turns")
+    binner = fit_bins(train, numeric, categorical, params)
+    return {"numeric": binner.numeric, "categorical": binner.categorical, "groups": [r["g"] for r in stats] if group else None,
+            "base": [math.log(max(r["mean"], 1e-9)) for r in stats] or [0.0],
+            "scale": _scales(sum(r["n"] for r in stats), max([r["top"] for r in stats], default=0.0))}
+
+
+def category_histogram(train: DataFrame, column: str, label: str, params: HistParams, group: str | None = None) -> DataFrame:
+    """What the first round's first pass knows of a categorical column: grp,
+    value, n and the sums g and h of both derivatives, by group and category
+    (at most groups x (``max_categories`` + 1) rows; a null value stands for
+    the rest)."""
+    spark = train.sparkSession
+    meta = _settings(train, [], [column], label, params, group)
+    model = HistModel(Binner({}, meta["categorical"]), meta["groups"], group, meta["base"], [])
+    rows = train.select(*dict.fromkeys([column, *([group] if group else [])]), F.col(label).cast("double").alias("__y"), F.lit(False).alias("__valid"))
+    blocks, path = stage_table(_blocks(rows, model, "__y", "__valid"), "category-histogram")
+    n = len(model.base)
+    pas = _Pass(1, model.binner.n_bins, params.power, meta["scale"], 1.0, params.seed, 0)
+    roots = _Grower(list(range(n)), n, model.binner.n_bins, model.binner.is_categorical, params, pas).tree(set())
+    sums = _sums(blocks, roots, np.arange(n), pas)[:, 0]
+    drop_path(spark, path)
+    values = [None, *(None if v == _NULL else v for v in model.binner.categorical[column])]
+    out = [(model.groups[k] if group else None, values[j], int(sums[k, j, 2]), float(sums[k, j, 0] / meta["scale"]), float(sums[k, j, 1] / meta["scale"]))
+           for k in range(n) for j in range(len(values)) if sums[k, j, 2]]
+    return spark.createDataFrame(out, "grp string, value string, n long, g double, h double")
+
+
 def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, params: HistParams,
         valid: DataFrame | None = None, group: str | None = None, state: str | None = None) -> HistResult:
     """Boosts on ``train``; rows without a label are left out.
@@ -585,14 +619,7 @@ def fit(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], la
     if st.has("settings"):
         meta = json.loads(st.get("settings"))
     else:
-        by = F.coalesce(F.col(group).cast("string"), F.lit(_NULL)) if group else F.lit("")
-        stats = train.where(y.isNotNull()).groupBy(by.alias("g")).agg(F.avg(y).alias("mean"), F.count(y).alias("n"), F.max(y).alias("top")).orderBy("g").limit(MAX_GROUPS + 1).collect()
-        if len(stats) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups in one fit: fit them in turns")
-        binner = fit_bins(train, numeric, categorical, params)
-        meta = {"numeric": binner.numeric, "categorical": binner.categorical, "groups": [r["g"] for r in stats] if group else None,
-                "base": [math.log(max(r["mean"], 1e-9)) for r in stats] or [0.0],
-                "scale": _scales(sum(r["n"] for r in stats), max([r["top"] for r in stats], default=0.0))}
+        meta = _settings(train, numeric, categorical, label, params, group)
         st.put("settings", json.dumps(meta))
     model = HistModel(Binner(meta["numeric"], meta["categorical"]), meta["groups"], group, meta["base"], [])
     if not st.has("blocks/_SUCCESS"):

@@ -320,6 +320,20 @@ def trend_lookup_q(p):
     return TR.trend_lookup(sd, hi, "fitted")
 
 
+@register("boost_histogram", q(f"""
+, tr AS (SELECT store_id, dept_id, CAST(sales AS DOUBLE) AS y FROM fact WHERE day_num <= (SELECT hi FROM bounds) - 28),
+m AS (SELECT store_id, LN(AVG(y)) AS m FROM tr GROUP BY store_id)
+SELECT store_id, dept_id, CAST(COUNT(*) AS BIGINT) AS n,
+       SUM(-y * EXP(({1 - TWEEDIE.power}) * m) + EXP(({2 - TWEEDIE.power}) * m)) AS g,
+       SUM(-y * ({1 - TWEEDIE.power}) * EXP(({1 - TWEEDIE.power}) * m) + ({2 - TWEEDIE.power}) * EXP(({2 - TWEEDIE.power}) * m)) AS h
+FROM tr JOIN m USING (store_id) GROUP BY store_id, dept_id"""), rnd=("g", "h"), digits=0)
+def boost_histogram_q(p):
+    # Gradient and hessian sums of the first pass, by store and department.
+    lo, hi = p.bounds
+    train = p.fact().where(F.col("day_num") <= hi - 28).select("store_id", "dept_id", "sales")
+    return H.category_histogram(train, "dept_id", "sales", TWEEDIE, "store_id").withColumnsRenamed({"grp": "store_id", "value": "dept_id"})
+
+
 @register("train_poisson", None)
 def train_poisson_q(p):
     return TRN.global_backtest(p, H.HistParams(power=1.0, **GLOBAL), ONE_IN)[1]
