@@ -312,7 +312,7 @@ def test_word_hashes_by_run(spark):
     import numpy as np
 
     from shelfcast.llm import common as C
-    texts = ["one two two", "three", "", "one", "\u00e9\u00e9 x" * 40]
+    texts = ["one two two", "three", "", "one", "\u00e9\u00e9 x" * 40, " ".join("a" * n + " " + "a" * n + "b" for n in range(1, 40)), "a\0 a\0\0 end"]
     data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
     starts, ends, _ = C.word_spans(data, offsets)
