@@ -24,6 +24,7 @@ from ..operators import evaluate as EV
 from ..operators import histboost as H
 from ..operators import trend as TR
 from ..operators.aggregates import store_day_agg
+from ..operators.boosting import BoostParams
 from ..operators.joins import join_trend
 from ..operators.reshape import fill_features
 from ..operators.windows import series_features
@@ -50,6 +51,16 @@ def state_path(panel: Panel, name: str, params: H.HistParams) -> str:
     return f"{checkpoint_dir(panel.spark).rstrip('/')}/fit-{name}-{key}"
 
 
+def hist_params(params: H.HistParams | BoostParams) -> H.HistParams:
+    """Settings of the MLlib booster as those of the histogram booster."""
+    if isinstance(params, H.HistParams):
+        return params
+    return H.HistParams(power=params.power, rounds=params.rounds, learning_rate=params.learning_rate, num_leaves=2 ** params.max_depth,
+                        max_depth=params.max_depth, min_instances=params.min_instances, max_bins=params.max_bins,
+                        row_fraction=params.row_fraction, col_fraction=params.col_fraction, seed=params.seed,
+                        early_stopping_rounds=params.early_stopping_rounds)
+
+
 def global_frame(panel: Panel, one_in: int | None = None) -> tuple[DataFrame, list[str]]:
     """Fact + features + split flag; returns the frame and the numeric
     features. ``one_in`` keeps whole series, one in so many by a hash of the id
@@ -69,6 +80,7 @@ def global_frame(panel: Panel, one_in: int | None = None) -> tuple[DataFrame, li
 
 
 def global_fit(panel: Panel, params: H.HistParams, one_in: int | None = None) -> tuple[H.HistResult, DataFrame]:
+    params = hist_params(params)
     f, numeric = global_frame(panel, one_in)
     # Materialise once in the shared checkpoint folder: binning, blocks and
     # scoring read this instead of re-running the scan, joins and windows.
@@ -116,6 +128,7 @@ def hybrid_fit(panel: Panel, params: H.HistParams, trend_mode: str = "fitted", l
                ) -> tuple[list[H.HistResult], DataFrame, int]:
     """One model per store (up to ``MAX_GROUPS`` stores grow together, more
     stores take turns): results, horizon rows with ``yhat``, last day."""
+    params = hist_params(params)
     ext, last = hybrid_frame(panel, trend_mode, last_day)
     train, after = ext.where(F.col("day_num") <= last), ext.where(F.col("day_num") > last)
     stores = sorted(r[0] for r in train.select("store_id").distinct().collect())
