@@ -57,7 +57,17 @@ _UNITS = re.compile(f" ?[{_LETTER}]+(?=[{_SIGN}{_SPACE}]|$)| ?[{_SIGN}]+(?=[{_LE
 class UnitEncoder:
     """Ids by the tokenizers library, each distinct unit encoded once per table."""
 
-    def __init__(self, tokenizer: str, table_size: int = 300_000):
+    _kept: dict[str, UnitEncoder] = {}
+
+    @classmethod
+    def of(cls, tokenizer: str) -> UnitEncoder:
+        """This process's encoder: the tasks that a Python worker gets one after
+        the other go on with its table."""
+        if tokenizer not in cls._kept:
+            cls._kept = {tokenizer: cls(tokenizer)}
+        return cls._kept[tokenizer]
+
+    def __init__(self, tokenizer: str, table_size: int = 500_000):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer)
@@ -99,7 +109,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = END_
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         part = TaskContext.get().partitionId()
-        encoder = UnitEncoder(tokenizer)
+        encoder = UnitEncoder.of(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
