@@ -3,6 +3,7 @@ empty and long texts, ties, repeated rows and clashing extra columns."""
 
 import random
 
+import numpy as np
 import pytest
 
 from . import brute
@@ -264,29 +265,116 @@ def test_no_key_of_suffix_dedup_grows_with_a_phrase():
     assert shares.max() < 1.5 * shares.mean()
 
 
-def test_attention_counts_all_training_text(spark, rows):
-    import numpy as np
+def lm_parts(spark, rows, block_bytes=1 << 12):
     import public_tokenizers
 
     from shelfcast.llm import attention_lm as A
     from shelfcast.llm import common as C
     from shelfcast.llm import packing
     tokenizer = packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
-    sub, want = A.Subwords(tokenizer), 0
-    want = np.zeros(sub.size, np.int64)
+    blocks = C.pack_blocks(frame(spark, rows), "lm-blocks", block_bytes)
+    encoded = A.encode(blocks.join(C.exchange(blocks, A._ask, A._total, 3, "counts"), "block", "left"), tokenizer)
+    return A, A.Subwords(tokenizer), encoded
+
+
+def lm_words(text):
+    return brute.words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def lm_trains(A, C, d):
+    return not A._is_held_out(np.array([C.NULL_ID if d is None else d]))[0]
+
+
+def test_attention_counts_all_training_text(spark, rows):
+    from shelfcast.llm import common as C
+    A, sub, encoded = lm_parts(spark, rows)
+    words, distinct, seen = np.zeros(sub.size, np.int64), np.zeros(sub.size, np.int64), set()
+    for d, t in rows:
+        if lm_trains(A, C, d):
+            for w in lm_words(t):
+                words[sub.first_ids([w.encode()])[0]] += 1
+                seen.add(w)
+    for w in seen:
+        distinct[sub.first_ids([w.encode()])[0]] += 1
+    got = A.id_counts(encoded, sub.size)
+    assert (got[0] == words).all() and (got[1] == distinct).all()
+
+
+def two_languages(n=260, seed=8):
+    """Documents of 120 words, each in one of two languages without common words."""
+    rng = random.Random(seed)
+    words = [["".join(rng.choice(a) for _ in range(6)) for _ in range(150)] for a in ("abcdefgh", "stuvwxyz")]
+    return [(i, " ".join(rng.choice(words[i % 2]) for _ in range(120))) for i in range(n)]
+
+
+def test_attention_score_by_text(spark, rows):
+    """Every text's score, token by token and window by window, from the fitted model."""
+    import math
+    from collections import Counter
+
+    from shelfcast.llm import common as C
+    rows = [*rows, *((10_000 + d, t) for d, t in two_languages(60))]
+    A, sub, encoded = lm_parts(spark, rows)
+    words, distinct = A.id_counts(encoded, sub.size)
+    ends = sum(lm_trains(A, C, d) for d, _ in rows)
+    model = A.fit(encoded, words, distinct, ends, rounds=1, share=1)
+    tokenizer = sub.model.to_str()
+    count = Counter(w for d, t in rows if lm_trains(A, C, d) for w in lm_words(t))
+    classes = {w: int(model.cls[sub.first_ids([w.encode()])[0]]) for _, t in rows for w in lm_words(t)}
+    of_class, kinds = Counter({0: ends}), Counter({0: int(ends > 0)})
+    for w, n in count.items():
+        of_class[classes[w]] += n
+        kinds[classes[w]] += 1
+    stride = A.CONTEXT - A.OVERLAP
+    original = A.fit
+    A.fit = lambda *_: model
+    try:
+        got = sorted(((r["doc_id"], round(r["score"], 2)) for r in A.score(frame(spark, rows), tokenizer).collect()), key=key)
+    finally:
+        A.fit = original
+    want = []
+    for d, t in rows:
+        tokens = [*((classes[w], count[w]) for w in lm_words(t)), (0, ends)]
+        if len(tokens) > 2_000:
+            continue
+        value = 0.0
+        for i, (cls, c) in enumerate(tokens):
+            begin = 0 if i < A.CONTEXT else stride * -(-(i - A.CONTEXT + 1) // stride)
+            x = np.array([[tokens[j - 1][0] if j else 0 for j in range(begin, i + 1)]])
+            value += A.forward(model.weights, x)[0][0, -1, cls] / math.log(10)
+            value += math.log10((c + 0.1) / (of_class[cls] + 0.1 * (kinds[cls] + 1)))
+        want.append((d, value))
+    short = {}
+    for d, v in want:
+        short.setdefault(d, []).append(v)
+    for d, values in short.items():
+        have = sorted(v for i, v in got if i == d)
+        if len(have) == len(values):
+            assert np.allclose(have, sorted(values), atol=0.02, rtol=1e-4), d
+
+
+def test_attention_beats_the_unigram(spark):
+    """On held-out texts, after training; every task's windows count."""
+    rows = two_languages()
+    A, sub, encoded = lm_parts(spark, rows, 1 << 14)
+    words, distinct = A.id_counts(encoded, sub.size)
+    assert words.sum() == sum(120 for d, _ in rows if lm_trains(A, A.C, d))
+    kind = A.kinds_of_ids(encoded, words)
+    language = {}
     for d, t in rows:
-        if not A._is_held_out(np.array([C.NULL_ID if d is None else d]))[0]:
-            words = brute.words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
-            for ids in sub.ids([w.encode() for w in words]):
-                np.add.at(want, ids, 1)
-    blocks = C.pack_blocks(frame(spark, rows), "lm-blocks", 1 << 12)
-    known = blocks.join(C.exchange(blocks, A._ask, A._total, 3, "counts"), "block", "left")
-    assert (A.id_counts(known, tokenizer, sub.size) == want).all()
-    if len(rows) > 50:
-        model = A.fit(frame(spark, rows).select("doc_id", "text"), tokenizer, 1, known, 5)
-        total = np.bincount(model.cls, weights=np.append(want, 5), minlength=A.CLASSES)
-        size = np.bincount(model.cls, minlength=A.CLASSES)
-        assert np.allclose(10.0 ** model.within, (np.append(want, 5) + 0.1) / (total + 0.1 * size)[model.cls], rtol=1e-4)
+        for i in sub.first_ids([w.encode() for w in lm_words(t)]).tolist():
+            language.setdefault(i, set()).add(d % 2)
+    by_kind = {}
+    for i, of in language.items():
+        if len(of) == 1 and kind[i] < A.KINDS:
+            by_kind.setdefault(int(kind[i]), set()).update(of)
+    assert by_kind and all(len(of) == 1 for of in by_kind.values())  # no kind mixes the languages
+    chosen = A.training_windows(encoded, A.classes_of_ids(words, kind), 1)
+    assert sum(len(A.C.unpack_arrays(r["windows"])[0]) for r in chosen.collect()) == sum(10 for d, _ in rows if lm_trains(A, A.C, d))
+    plain, trained = (A.fit(encoded, words, distinct, 234, rounds=r, share=1) for r in (0, 3))
+    x = plain.cls[sub.first_ids([w.encode() for w in lm_words(rows[1][1])])].astype(np.int64)
+    bounds = np.array([0, len(x)])
+    assert A._log10_classes(trained, x, bounds).mean() > A._log10_classes(plain, x, bounds).mean() + 0.1
 
 
 def crafted(length):
