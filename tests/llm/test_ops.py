@@ -300,6 +300,16 @@ def test_attention_counts_all_training_text(spark, rows):
     assert (got[0] == words).all() and (got[1] == distinct).all()
 
 
+def test_attention_first_ids_by_unit(spark, rows):
+    """The first id of a word's first unit is the whole word's."""
+    A, sub, _ = lm_parts(spark, rows[:3])
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abz\xe9\xf7\xd7\xdf\u03b1\u20ac09!'#_-~\xa0\x1c\u0301") for _ in range(rng.randint(1, 7))) for _ in range(20_000)]
+    words += ["'s", "it's", "<|endoftext|>", "x<|endoftext|>", "a" * 5000, "\xfcber-9", "1,234.5"]
+    whole = [e.ids[0] for e in sub.model.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+    assert sub.first_ids([w.encode() for w in words]).tolist() == whole
+
+
 def two_languages(n=260, seed=8):
     """Documents of 120 words, each in one of two languages without common words."""
     rng = random.Random(seed)
