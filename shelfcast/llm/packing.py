@@ -52,6 +52,9 @@ _LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 #: space, of which the last space goes with the word after it.
 _UNITS = re.compile(f" ?[{_LETTER}]+(?=[{_SIGN}{_SPACE}]|$)| ?[{_SIGN}]+(?=[{_LETTER}{_SPACE}]|$)| ?[^{_SPACE}]+"
                     f"|[{_SPACE}]+(?=[{_SPACE}][^{_SPACE}])|[{_SPACE}]+").findall
+#: Units that are segmented as they are wherever other such units stand around
+#: them, and of whose ids only the first begins with a space.
+_PLAIN = re.compile(f" [{_LETTER}]+").fullmatch
 
 
 class UnitEncoder:
@@ -71,6 +74,7 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(tokenizer)
+        self.begins = np.array([(self.model.id_to_token(i) or "").startswith("Ġ") for i in range(self.model.get_vocab_size())], bool)
         self.table: dict[str, bytes] = {}
         self.table_size = table_size
         # Added tokens are taken out of a text before anything else is looked at.
@@ -85,11 +89,24 @@ class UnitEncoder:
             out += [part] if i % 2 else _UNITS(part)
         return out
 
+    def _encode_joined(self, plain: list[str]) -> None:
+        """Put plain units into the table, 250 of them in one encoding. A
+        tokenizer that doesn't mark the space before a word leaves them out."""
+        for i in range(0, len(plain), 250):
+            part = plain[i:i + 250]
+            ids = np.array(self.model.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
+            if len(cuts) == len(part) + 1 and cuts[0] == 0:
+                raw = ids.tobytes()
+                self.table.update((u, raw[4 * a:4 * b]) for u, a, b in zip(part, cuts[:-1], cuts[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.table) > self.table_size:
             self.table.clear()
         units = [self.units(t) for t in texts]
-        new = list(set().union(*units) - self.table.keys()) if units else []
+        new = set().union(*units) - self.table.keys() if units else set()
+        self._encode_joined([u for u in new if _PLAIN(u)])
+        new = list(new - self.table.keys())
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
             for unit, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):

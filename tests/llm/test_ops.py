@@ -387,6 +387,22 @@ def test_attention_beats_the_unigram(spark):
     assert A._log10_classes(trained, x, bounds).mean() > A._log10_classes(plain, x, bounds).mean() + 0.1
 
 
+def test_packing_ids_are_the_librarys():
+    """Of whole texts of words, signs, white space and added tokens, through the table of units."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shelfcast.llm import packing
+    text = packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    library, encoder = Tokenizer.from_str(text), packing.UnitEncoder(text)
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abehinrstz\xe9\xdf\xfc") for _ in range(rng.randint(1, 9))) for _ in range(3000)] + ["it's", "'ll", "1,2", "<|endoftext|>", "\u03b1\u03b2", "\xa0x", "--", "\u20ac5", "x\u0301y"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\n", " \n\t", ". ", ""]) for _ in range(rng.randint(0, 200))) for _ in range(400)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    assert len([u for u in encoder.table if packing._PLAIN(u)]) > 1000
+
+
 def crafted(length):
     """Two words of letters that a polynomial hash modulo 2**64 can't tell apart."""
     word = "a"
