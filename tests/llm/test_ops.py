@@ -387,6 +387,55 @@ def test_attention_beats_the_unigram(spark):
     assert A._log10_classes(trained, x, bounds).mean() > A._log10_classes(plain, x, bounds).mean() + 0.1
 
 
+def test_minhash_forms_few_pairs_of_unlike_copies(spark, monkeypatch):
+    """Copies of one text, each with five words changed elsewhere, are not similar
+    to one another: their counts by segment rule nearly all pairs out."""
+    from shelfcast.llm import minhash as M
+    rng, rows = random.Random(4), []
+    for d in range(80):
+        words = [f"w{i}" for i in range(200)]
+        for at in rng.sample(range(8, 192), 5):
+            words[at] = f"own{d}x{at}"
+        rows.append((d, " ".join(words)))
+    rows.append((80, rows[0][1] + " end"))
+    formed, star_pairs = [], M.star_pairs
+
+    def counted(*args):
+        out = star_pairs(*args)
+        formed.append(out.count())
+        return out
+
+    monkeypatch.setattr(M, "star_pairs", counted)
+    same(M.near_duplicates(frame(spark, rows)), brute.op10(rows))
+    assert 0 < sum(formed) < 5 * len(rows)
+
+
+def test_attention_learns_from_every_training_token(spark, monkeypatch):
+    """By its settings: over all rounds each token of a training document, and its end, is learned from once."""
+    rows = two_languages()
+    A, sub, encoded = lm_parts(spark, rows, 1 << 14)
+    rounds, learn = [], A.learn
+
+    def seen(weights, chosen, number):
+        rounds.append(sum(int(A.C.unpack_arrays(r["windows"])[2].sum()) for r in chosen.collect()))
+        return learn(weights, chosen, number)
+
+    monkeypatch.setattr(A, "learn", seen)
+    A.fit(encoded, *A.id_counts(encoded, sub.size), 234)
+    assert sum(rounds) == sum(121 for d, _ in rows if lm_trains(A, A.C, d)) and len(rounds) == A.ROUNDS and min(rounds) > 0
+
+
+def test_attention_rows_far_apart():
+    """Softmax rows whose values differ by far more than exp can hold."""
+    from shelfcast.llm import attention_lm as A
+    z = np.array([[900, 899, 0], [-900, -901, -950], [3, 2, 1]], np.float32)
+    for shown in (None, np.tril(np.ones((3, 3), np.float32))):
+        e, total, shift = A._exp_rows(z.copy(), shown)
+        want = np.where(np.ones((3, 3)) if shown is None else shown > 0, np.exp((z - z.max(1, keepdims=True) if shown is None else z - np.array([[900], [-900], [3]])).astype(float)), 0)
+        assert np.allclose(e / total[:, None], want / want.sum(1, keepdims=True), atol=1e-6)
+        assert np.allclose(shift + np.log(total), z.astype(float).max(1) + np.log(want.sum(1)), atol=1e-4)
+
+
 def test_packing_ids_are_the_librarys():
     """Of whole texts of words, signs, white space and added tokens, through the table of units."""
     import public_tokenizers
