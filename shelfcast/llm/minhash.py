@@ -20,8 +20,9 @@ of ``THRESHOLD`` percent or more are linked; components are closed under links.
 3. *Stars.* A bucket's pairs are its members with its hub (the member with the
    smallest part of shingles of its own, so the middle of a group of edited
    copies), not all pairs: as many as members. Pairs that share several buckets
-   are checked once; pairs whose covered shingles rule a link out, or that are
-   in one component already, are not formed.
+   are checked once; pairs whose covered shingles rule a link out, in all or
+   counted by segments of the hashes, or that are in one component already, are
+   not formed.
 4. *Confirmation.* Pairs are confirmed on full sets of 64-bit shingle hashes.
 5. *More stars.* A hub leaves its bucket once all members were held against
    it. Buckets of one first hub become one, and sizes of intersections with it
@@ -54,6 +55,7 @@ from .phrase_dedup import reply_bits, seen_elsewhere
 SHINGLE, THRESHOLD = 5, 75
 BINS, BANDS, ROWS = 126, 42, 3
 SMALL, STARS, SWEEPS = 64, 1, 1
+SEGMENT_BITS = 5  # covered shingles are counted in 32 segments of the hashes
 PREFIXED = SMALL * 100 // THRESHOLD + 1  # largest set that adds a prefix
 
 SETS = "doc long, n_shingles long, s1 long, s2 long, keys array<long>, small array<long>"
@@ -182,21 +184,23 @@ def _sweep(blocks: DataFrame, sets_of: Callable, threshold: int) -> DataFrame:
                 sets = sets_of(block)
                 keys, _ = distinct(sets)
                 found = reply_bits(batch, i, "shared", keys, buckets)
-                covered = np.array([int(found[np.searchsorted(keys, h)].sum()) for h in sets], np.int64)
+                shown = [h[found[np.searchsorted(keys, h)] > 0] for h in sets]
+                covered = np.array([len(h) for h in shown], np.int64)
                 n = np.array([len(h) for h in sets], np.int64)
                 pick = np.flatnonzero((n > 0) & (100 * covered >= threshold * n))
                 if len(pick):
                     data = zstandard.ZstdCompressor(level=1).compress(np.concatenate([sets[d] for d in pick]).tobytes())
-                    row = (block.block, block.ids[pick].tobytes(), (8 * n[pick]).tobytes(), data, C.ipc_bytes(pa.table({"covered": covered[pick]})))
+                    parts = pa.array([np.bincount((shown[d] >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64), minlength=1 << SEGMENT_BITS).astype(np.int32) for d in pick], pa.list_(pa.int32()))
+                    row = (block.block, block.ids[pick].tobytes(), (8 * n[pick]).tobytes(), data, C.ipc_bytes(pa.table({"covered": covered[pick], "parts": parts})))
                     yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["block", "ids", "lens", "data", "more"])
 
     return stage_table(blocks.join(shared, "block", "left").mapInArrow(run, C.BLOCK_SCHEMA), "swept")[0]
 
 
 def linkable_sets(docs: DataFrame, wanted: DataFrame, threshold: int = THRESHOLD, sweeps: int = SWEEPS) -> DataFrame:
-    """(vertex, n, covered, hashes binary) of the wanted vertices (column
+    """(vertex, n, covered, parts, hashes binary) of the wanted vertices (column
     ``vertex``), staged. ``covered`` counts the shingles found in another
-    wanted text too. An intersection holds covered shingles only, so vertices
+    wanted text too, ``parts`` the same by segments of the hashes. An intersection holds covered shingles only, so vertices
     with fewer than ``threshold`` percent of them have no link and are left
     out; a further sweep counts among those that are left."""
     texts = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(C.NULL_ID)).cast("long")).alias("doc_id"), "text")
@@ -209,15 +213,15 @@ def linkable_sets(docs: DataFrame, wanted: DataFrame, threshold: int = THRESHOLD
         for batch in batches:
             for _, block in C.unpack(batch):
                 sets = _kept_sets(block)
-                covered = block.more.column("covered").combine_chunks()
+                covered, parts = (block.more.column(c).combine_chunks() for c in ("covered", "parts"))
                 for j in range(0, len(sets), 200):
                     some = sets[j:j + 200]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(block.ids[j:j + 200]), pa.array([len(h) for h in some], pa.int64()), covered.slice(j, 200),
+                        pa.array(block.ids[j:j + 200]), pa.array([len(h) for h in some], pa.int64()), covered.slice(j, 200), parts.slice(j, 200),
                         pa.array([h.tobytes() for h in some], pa.binary()),
-                    ], names=["vertex", "n", "covered", "hashes"])
+                    ], names=["vertex", "n", "covered", "parts", "hashes"])
 
-    return stage_table(swept.mapInArrow(run, "vertex long, n long, covered long, hashes binary"), "full-sets")[0]
+    return stage_table(swept.mapInArrow(run, "vertex long, n long, covered long, parts array<int>, hashes binary"), "full-sets")[0]
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -256,16 +260,16 @@ def by_first_hub(members: DataFrame, hubs: DataFrame, checked: DataFrame) -> Dat
 
 
 def hubs_of(members: DataFrame, star: int) -> DataFrame:
-    """(key, hub, hub_component, hub_n, hub_covered, hub_via): the hubs of each bucket
+    """(key, hub, hub_component, hub_n, hub_covered, hub_via, hub_parts): the hubs of each bucket
     in one round, one in each of ``shares`` shares of its members: the member
     with the smallest part of shingles of its own, which most others resemble.
-    members: key, vertex, n, covered, via, component."""
+    members: key, vertex, n, covered, via, parts, component."""
     shares = 64 ** max(0, star - STARS + 1)
     own = (F.col("n") - F.col("covered")) / F.col("n")
     share = F.pmod(F.xxhash64("vertex", F.lit(-1 - star)), F.lit(shares))
-    first = F.min(F.struct(own.alias("own"), "vertex", "component", "n", "covered", "via"))
+    first = F.min(F.struct(own.alias("own"), "vertex", "component", "n", "covered", "via", "parts"))
     hubs = members.groupBy("key", share.alias("share")).agg(first.alias("h"))
-    return hubs.select("key", *(F.col(f"h.{c}").alias(f"hub_{c}" if c != "vertex" else "hub") for c in ("vertex", "component", "n", "covered", "via")))
+    return hubs.select("key", *(F.col(f"h.{c}").alias(f"hub_{c}" if c != "vertex" else "hub") for c in ("vertex", "component", "n", "covered", "via", "parts")))
 
 
 def star_pairs(members: DataFrame, hubs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -273,12 +277,14 @@ def star_pairs(members: DataFrame, hubs: DataFrame, threshold: int = THRESHOLD)
     components differ and the covered shingles allow a link: an intersection
     of at most ``common`` makes a union of at least n + hub_n - common. With
     the bucket's first hub known (``via``), what both share lies inside it or
-    among the other covered shingles, each bounded by itself."""
+    among the other covered shingles, each bounded by itself; so is what both
+    share in each segment of the hashes (``parts``)."""
     common = F.least("covered", "hub_covered")
     inside = F.least("via", "hub_via") + F.least(F.col("covered") - F.col("via"), F.col("hub_covered") - F.col("hub_via"))
     common = F.when(F.col("via").isNotNull() & F.col("hub_via").isNotNull(), inside).otherwise(common)
-    fits = 100 * common >= threshold * (F.col("n") + F.col("hub_n") - common)
-    pairs = members.join(hubs, "key").where((F.col("component") != F.col("hub_component")) & fits)
+    by_part = F.aggregate(F.zip_with("parts", "hub_parts", lambda a, b: F.least(a, b)), F.lit(0), lambda total, x: total + x)
+    fits = [100 * most >= threshold * (F.col("n") + F.col("hub_n") - most) for most in (common, by_part)]
+    pairs = members.join(hubs, "key").where((F.col("component") != F.col("hub_component")) & fits[0] & fits[1])
     return pairs.select(F.least("vertex", "hub").alias("a"), F.greatest("vertex", "hub").alias("b")).distinct()
 
 
@@ -330,7 +336,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = several_components(buckets.withColumn("component", F.col("vertex")))
     rest = stage_table(rest, "members")[0]  # most keys have one member
     sets = linkable_sets(docs, rest.select("vertex").distinct())
-    covered = sets.groupBy("vertex", "n").agg(F.max("covered").alias("covered"))
+    # Repeated doc_ids can have several sets of one size: bounds are those of all.
+    most = [F.max(F.col("parts")[k]) for k in range(1 << SEGMENT_BITS)]
+    covered = sets.groupBy("vertex", "n").agg(F.max("covered").alias("covered"), F.array(*most).alias("parts"))
     rest = rest.join(covered, ["vertex", "n"]).withColumn("via", F.lit(None).cast("long"))
     rest = stage_table(several_components(rest), "linkable")[0]
     links = spark.createDataFrame([], "a long, b long")
@@ -351,7 +359,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             links = stage_table(links.unionAll(found), "all-links")[0]
             labels = components(links)
             rest = rest.drop("component").join(labels, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
-        rest = stage_table(several_components(rest.select("key", "vertex", "n", "covered", "via", "component")), "rest")[0]
+        rest = stage_table(several_components(rest.select("key", "vertex", "n", "covered", "via", "parts", "component")), "rest")[0]
         star += 1
     if labels is None:
         labels = spark.createDataFrame([], "vertex long, component long")
