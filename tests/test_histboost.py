@@ -158,3 +158,19 @@ def test_missing_labels_and_empty_valid(spark):
     assert res.history[0]["valid_rmse"] == [None] and len(res.model.trees) == 4
     assert res.model.predict(df).where(F.col("prediction") <= 0).isEmpty()
     assert json.loads(res.model.trees[0].to_json())["roots"] == [0]
+
+
+def test_packed_sums_come_back():
+    at = np.array([0, 3, 4, 900, 1 << 40])
+    sums = np.array([[-1, 5, -(1 << 61), 0, 7], [1, 1 << 60, 3, 2, 9], [1, 2, 1 << 40, 4, 5]])
+    got = H._unpack(H._pack(at, sums))
+    assert (got[0] == at).all() and (got[1] == sums).all()
+    assert [x.shape for x in H._unpack(H._pack(at[:0], sums[:, :0]))] == [(0,), (3, 0)]
+
+
+def test_driver_gets_totals_not_every_tasks_sums(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(1200, 4), SCHEMA)
+    received, unpack = [], H._unpack
+    monkeypatch.setattr(H, "_unpack", lambda data: received.append(len(data)) or unpack(data))
+    res = H.fit(df.repartition(6, "k"), ["x1", "x2"], ["c"], "sales", PARAMS, group="store")
+    assert 0 < len(received) <= 3 * sum(h["passes"] for h in res.history)
