@@ -517,3 +517,41 @@ def test_packing_takes_the_programs_configurations():
             assert n(found) == 1000 < plain
         if i == 1:
             assert n(found) < 3200 < plain
+
+
+def test_packing_encodes_slices():
+    """A batch's units don't all stand in memory at once."""
+    from shelfcast.llm import packing
+
+    class Encoder(packing.UnitEncoder):
+        def __init__(self):
+            self.seen = []
+
+        def encode(self, texts):
+            self.seen.append(texts)
+            return [t.encode() for t in texts]
+
+    texts = ["a" * n for n in (3, 0, 9, 4, 5, 30, 1, 0)]
+    encoder = Encoder()
+    assert list(encoder.encode_slices(texts, 10)) == [t.encode() for t in texts]
+    assert [len(s) for s in encoder.seen] == [3, 3, 2] and list(encoder.encode_slices([], 10)) == []
+
+
+def test_packing_deals_pieces_by_part_and_length(spark):
+    """Pieces of one length (many have 1024) don't meet in one task."""
+    import re
+
+    from shelfcast.llm import packing
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = [(i, 0, 0, 1024, 7, None, i % 4, i // 4) for i in range(40)]
+        out = packing.pack(spark.createDataFrame(rows, packing.PIECES))
+        dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)", out._jdf.queryExecution().executedPlan().toString())
+        assert dealt.count(("part", "length")) == 2  # both sides of the join
+        assert sorted(r["sequence_id"] for r in out.collect()) == list(range(40))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
