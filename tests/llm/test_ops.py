@@ -555,3 +555,20 @@ def test_packing_deals_pieces_by_part_and_length(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_attention_plain_words_are_units_at_once(monkeypatch):
+    """Words of ASCII letters need no search for their unit; the mask of a window size is made once."""
+    import public_tokenizers
+
+    from shelfcast.llm import attention_lm as A
+    from shelfcast.llm import packing
+    sub = A.Subwords(packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()))
+    looked, unit = [], A._UNIT
+    monkeypatch.setattr(A, "_UNIT", lambda w: looked.append(w) or unit(w))
+    words = ["plain", "z" * 300, "it's", "1,2", "\xfcber", "the"]
+    want = [e.ids[0] for e in sub.model.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+    assert sub.first_ids([w.encode() for w in words]).tolist() == want
+    assert looked == ["it's".encode(), b"1,2", "\xfcber".encode()]
+    mask = A._earlier(2, 3, np.dtype(np.float32))
+    assert mask is A._earlier(2, 3, np.dtype(np.float32)) and (mask == np.tile(np.tril(np.ones((3, 3))), (2, 1))).all()
