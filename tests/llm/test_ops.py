@@ -572,3 +572,67 @@ def test_attention_plain_words_are_units_at_once(monkeypatch):
     assert looked == ["it's".encode(), b"1,2", "\xfcber".encode()]
     mask = A._earlier(2, 3, np.dtype(np.float32))
     assert mask is A._earlier(2, 3, np.dtype(np.float32)) and (mask == np.tile(np.tril(np.ones((3, 3))), (2, 1))).all()
+
+
+def test_attention_known_words_are_not_looked_at_again(monkeypatch):
+    """A worker looks at a word's letters once, whatever the number of blocks that hold it; a full table starts anew."""
+    import public_tokenizers
+
+    from shelfcast.llm import attention_lm as A
+    from shelfcast.llm import packing
+    sub = A.Subwords(packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read()), hashes=6)
+    looked, first_ids = [], sub.first_ids
+    monkeypatch.setattr(sub, "first_ids", lambda words: looked.extend(words) or first_ids(words))
+
+    def ids_of(words):
+        keys = np.array([sum(w) for w in words], np.uint64)  # stands for the hashes
+        order = np.argsort(keys)
+        got = sub.first_ids_by_hash(keys[order], lambda new: [words[i] for i in order[new]])
+        assert got.tolist() == [sub.model.encode(" " + words[i].decode(), add_special_tokens=False).ids[0] for i in order]
+
+    ids_of([b"the", b"cat", b"it's"])
+    ids_of([b"cat", b"dog", b"the"])
+    assert sorted(looked) == [b"cat", b"dog", b"it's", b"the"]
+    ids_of([])
+    ids_of([b"more", b"words", b"cat"])
+    assert sorted(looked[4:]) == [b"more", b"words"]
+    ids_of([b"one", b"it's"])  # seven words: the table is full
+    ids_of([b"one", b"dog"])
+    assert looked[6:] == [b"one", b"dog"]
+
+
+def test_word_hashes_letter_by_letter():
+    """Spans, hashes and distinct hashes against a plain version, for words of all lengths at all places."""
+    import xxhash
+
+    from shelfcast.llm import common as C
+    rng = random.Random(6)
+    texts = [b"", b" ", b"a", b"ab", *(b" ".join(bytes(rng.choice(b"abc\x00\xff") for _ in range(rng.randint(1, 40 if d % 2 else 3))) for _ in range(40)) + b"\n" * (d % 3) for d in range(30))]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    starts, ends, first = C.word_spans(data, offsets)
+    words = [t.split() for t in texts]
+    raw = data.tobytes()
+    assert [raw[a:b] for a, b in zip(starts, ends)] == [w for ws in words for w in ws]
+    assert np.diff(first).tolist() == [len(ws) for ws in words]
+
+    def hash_of(w):
+        if len(w) > 16:
+            return xxhash.xxh3_64_intdigest(w, seed=20240501)
+        low, high = (np.array([int.from_bytes(w[i:i + 8], "little")], np.uint64) for i in (0, 8))
+        return int(C.mix(low ^ C.mix(high ^ C.mix(np.array([len(w)], np.uint64) + C._SLOT[63])))[0])
+
+    hashes = C.word_hashes(data, starts, ends, 64)
+    assert hashes.tolist() == [hash_of(w) for ws in words for w in ws]
+    for some in (hashes, hashes[:1], hashes[:0]):
+        for got, want in zip(C.distinct(some), np.unique(some, return_index=True, return_inverse=True)):
+            assert got.tolist() == want.tolist()
+
+
+def test_attention_logits_and_transposes():
+    """One product with the bias in it gives the values of a product and a sum."""
+    from shelfcast.llm import attention_lm as A
+    w, rng = A.start_weights(), np.random.default_rng(1)
+    w["b"] = rng.normal(0, 1, w["b"].shape).astype(np.float32)
+    top, a = rng.normal(0, 1, (40, A.DIM)).astype(np.float32), rng.normal(0, 1, (3, 5, 4))
+    assert np.allclose(A._logits(w, top), top @ w["u"] + w["b"], atol=1e-6)
+    assert (A._turned(a) == a.transpose(0, 2, 1)).all() and A._turned(a).flags.c_contiguous
