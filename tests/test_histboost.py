@@ -174,3 +174,33 @@ def test_driver_gets_totals_not_every_tasks_sums(spark, monkeypatch):
     monkeypatch.setattr(H, "_unpack", lambda data: received.append(len(data)) or unpack(data))
     res = H.fit(df.repartition(6, "k"), ["x1", "x2"], ["c"], "sales", PARAMS, group="store")
     assert 0 < len(received) <= 3 * sum(h["passes"] for h in res.history)
+
+
+def test_a_pass_over_few_rows_is_one_stage(spark):
+    """Spark's own time for tasks and shuffles is what a pass over a small table takes."""
+    df = spark.createDataFrame(rows_of(1200, 5), SCHEMA).repartition(6, "k").cache()
+    sc = spark.sparkContext
+
+    def run(rounds):
+        sc.setJobGroup(f"rounds-{rounds}", "")
+        res = H.fit(df, ["x1", "x2"], ["c"], "sales", H.HistParams(**{**PARAMS.__dict__, "rounds": rounds, "stage_every": 20}))
+        tracker = sc.statusTracker()
+        return res.history, sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(f"rounds-{rounds}"))
+
+    try:
+        (_, few), (history, more) = run(2), run(6)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        df.unpersist()
+    assert 0 < more - few <= sum(h["passes"] for h in history[2:])
+
+
+def test_more_rows_take_more_partitions(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(900, 8), SCHEMA).repartition(6, "k")
+    parts, loaded = [], H._loaded
+    monkeypatch.setattr(H, "_loaded", lambda *a: parts.append(out := loaded(*a)) or out)
+    text = lambda: [t.to_json() for t in H.fit(df, ["x1", "x2"], ["c"], "sales", PARAMS, df.where("k < 90"), "store").model.trees]
+    before = text()
+    monkeypatch.setattr(H, "PART_ROWS", 300)
+    assert text() == before
+    assert [p.getNumPartitions() for p in parts] == [1, 4]
