@@ -636,3 +636,142 @@ def test_attention_logits_and_transposes():
     top, a = rng.normal(0, 1, (40, A.DIM)).astype(np.float32), rng.normal(0, 1, (3, 5, 4))
     assert np.allclose(A._logits(w, top), top @ w["u"] + w["b"], atol=1e-6)
     assert (A._turned(a) == a.transpose(0, 2, 1)).all() and A._turned(a).flags.c_contiguous
+
+
+def odd_words(n, seed=2):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abz\xe9\xf7\xd7\xdfα€09!'#_-~\xa0\x1ć ") for _ in range(rng.randint(1, 9))) for _ in range(n)]
+    return [*dict.fromkeys([*words, "'s", "it's", "<|endoftext|>", "x<|endoftext|>", "a" * 5000, "\xfcber-9", "1,234.5", "　", "internationalisation"])]
+
+
+def test_attention_ids_are_the_librarys():
+    """All ids of a word, not the first alone; also of words known from earlier blocks and when the table starts anew."""
+    import public_tokenizers
+
+    from shelfcast.llm import attention_lm as A
+    from shelfcast.llm import packing
+    text = packing.tokenizer_text(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    words = odd_words(9_000)
+    want = [e.ids for e in A.Subwords(text).model.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+    assert max(map(len, want)) > 100 and sum(len(i) > 1 for i in want) > 4_000
+    for hashes in (1 << 20, 5_000):
+        sub, rng = A.Subwords(text, hashes=hashes), np.random.default_rng(0)
+        for _ in range(6):
+            mine = np.sort(rng.choice(len(words), 3_000, replace=False))
+            first, more, further = sub.ids_by_hash(mine.astype(np.uint64), lambda new: [words[i].encode() for i in mine[new]])  # noqa: B023
+            cuts = np.concatenate([[0], np.cumsum(more)]).astype(int)
+            assert [[f, *further[a:b].tolist()] for f, a, b in zip(first.tolist(), cuts[:-1], cuts[1:])] == [want[i] for i in mine]
+
+
+def test_attention_gradients_of_further_ids():
+    from shelfcast.llm import attention_lm as A
+    w = {k: v.astype(np.float64) for k, v in A.start_weights(6, 4, 5).items()}
+    rng = np.random.default_rng(1)
+    w["f"] = rng.normal(0, 0.3, (6, 4))
+    x = rng.integers(0, 6, (3, 5))
+    word, bounds, further = rng.integers(0, 5, (3, 5)), np.array([0, 0, 0, 2, 3, 6]), np.array([1, 4, 4, 2, 3, 2])
+    word[0, 0] = 4
+    bags = A.Bags.of(word, bounds, further)
+    assert bags.cls.tolist() == [c for i in word.ravel() for c in further[bounds[i]:bounds[i + 1]]]
+    y, use = (x + 1) % 6, np.ones(x.shape, bool)
+    loss = lambda: -A.forward(w, x, bags)[0][np.arange(3)[:, None], np.arange(5), y].mean()
+    assert abs(loss() + A.log_of(w, x, y, use, bags).mean()) < 1e-6
+    g = A.gradients(w, x, y, use, bags)
+    for name in w:
+        for at in ((0,) * w[name].ndim, (2,) * w[name].ndim):
+            before, eps = w[name][at], 1e-5
+            w[name][at] = before + eps
+            up = loss()
+            w[name][at] = before - eps
+            down = loss()
+            w[name][at] = before
+            assert abs((up - down) / (2 * eps) - g[name][at]) < 1e-5, name
+
+
+def test_attention_sees_and_predicts_all_ids(spark, rows):
+    """The query's score of every text, token by token and id by id, from the model that it fits."""
+    import math
+    from collections import Counter
+
+    from shelfcast.llm import common as C
+    rows = [*rows, *((10_000 + d, t) for d, t in two_languages(60))]
+    A, sub, encoded = lm_parts(spark, rows)
+    tokenizer, fit, fitted = sub.model.to_str(), A.fit, []
+    A.fit = lambda *a: fitted.append(fit(*a)) or fitted[0]
+    try:
+        got = [(r["doc_id"], r["score"]) for r in A.score(frame(spark, rows), tokenizer).collect()]
+    finally:
+        A.fit = fit
+    model = fitted[0]
+    inside = model.further
+    ids = {w: sub.model.encode(" " + w, add_special_tokens=False).ids for _, t in rows for w in lm_words(t)}
+    count = Counter(w for d, t in rows if lm_trains(A, C, d) for w in lm_words(t))
+    ends = sum(lm_trains(A, C, d) for d, _ in rows)
+    further, firsts = Counter(i for w in count for i in ids[w][1:]), Counter(ids[w][0] for w in count)
+    assert (A.further_counts(encoded, sub.size) == [further[i] for i in range(sub.size)]).all() and sum(further.values()) > 100
+    cls = lambda i: int(model.cls[i])
+    later = lambda i: int(inside.cls[i])
+    stride, size = A.CONTEXT - A.OVERLAP, sub.size
+
+    def begin(i):
+        return 0 if i < A.CONTEXT else stride * -(-(i - A.CONTEXT + 1) // stride)
+
+    def share(counts, of, i):
+        return (counts[i] + 0.1) / sum(counts[j] + 0.1 for j in np.flatnonzero(of == of[i]).tolist())
+
+    shares: dict = {}
+    of_class, kinds = Counter(), Counter()
+    for w, n in count.items():
+        of_class[cls(ids[w][0])] += n
+        kinds[cls(ids[w][0])] += 1
+
+    def in_class(w):
+        first, *rest = ids[w]
+        q = math.log(shares.setdefault((0, first), share(firsts, model.cls[:size], first)))
+        x = [A.CLASSES + cls(first), *(later(i) for i in rest)]
+        for i, y in enumerate([*(later(i) for i in rest), 0]):
+            q += A.forward(inside.weights, np.array([x[begin(i):i + 1]]))[0][0, -1, y]
+        q += sum(math.log(shares.setdefault((1, i), share(further, inside.cls, i))) for i in rest)
+        mass = A.SHARED * (kinds[cls(first)] + 1)
+        return math.log((count[w] + mass * math.exp(q)) / (of_class[cls(first)] + mass)) if count[w] or q > -600 else None
+
+    known: dict = {}
+    want: dict = {}
+    for d, t in rows:
+        words = lm_words(t)
+        if len(words) > 120 or any(len(ids[w]) > 200 for w in words):
+            continue
+        value = 0.0
+        for i, w in enumerate([*words, None]):
+            seen = [None if j < 0 else words[j] for j in range(begin(i) - 1, i)]
+            seen[0] = None if begin(i) == 0 else seen[0]
+            x = np.array([[0 if s is None else cls(ids[s][0]) for s in seen]])
+            lists = [[] if s is None else [later(k) for k in ids[s][1:]] for s in seen]
+            bags = A.Bags.of(np.arange(len(seen)), np.concatenate([[0], np.cumsum([len(v) for v in lists])]).astype(int), np.array(sum(lists, []), int))
+            value += A.forward(model.weights, x, bags)[0][0, -1, 0 if w is None else cls(ids[w][0])]
+            if w is not None:
+                value += known[w] if w in known else known.setdefault(w, in_class(w))
+        want.setdefault(d, []).append(value / math.log(10))
+    assert len(want) >= 60
+    for d, values in want.items():
+        have = sorted(v for i, v in got if i == d)
+        if len(have) == len(values):
+            assert np.allclose(have, sorted(values), atol=0.02, rtol=1e-4), d
+
+
+def test_attention_learns_inside_every_distinct_word(spark):
+    """Each distinct training word's further ids and end, once over all parts; words of one first id differ by their further ids."""
+    rows = [*two_languages(80), (9_001, "antest anword anther"), (9_002, None)]
+    A, sub, encoded = lm_parts(spark, rows, 1 << 13)
+    words, distinct = A.id_counts(encoded, sub.size)
+    further = A.further_counts(encoded, sub.size)
+    chosen = A.further_windows(encoded, A.classes_of_ids(words, A.kinds_of_ids(encoded, words)), A.classes_of_ids(further, np.full(sub.size, A.KINDS))[:-1])
+    used = {}
+    for r in chosen.collect():
+        used[r["part"]] = used.get(r["part"], 0) + int(A.C.unpack_arrays(r["windows"])[2].sum())
+    train = {w for d, t in rows if lm_trains(A, A.C, d) for w in lm_words(t)}
+    assert sum(used.values()) == sum(len(sub.model.encode(" " + w, add_special_tokens=False).ids) for w in train) and len(used) == A.ROUNDS
+    model = A.fit(encoded, words, distinct, 80, 1, 1, further)
+    first, more, ids = (np.array(v, np.int64) for v in ([7, 7, 7], [0, 1, 2], [300, 300, 400]))
+    got = 10.0 ** (A.log10_words(model, first, more, ids) - model.further.log_mass[model.cls[7]])
+    assert len(set(got.tolist())) == 3 and (got > 0).all() and got.sum() < 1
